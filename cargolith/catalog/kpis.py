@@ -149,22 +149,22 @@ register("A26_rfm_base", lambda s, d: money(cust.rfm_base(invoices(s, d), instan
 SELECT CustomerKey, FirstPurchase, LastPurchase, Frequency, round(Monetary, 2) AS Monetary, round(MonetaryMean, 6) AS MonetaryMean,
   round(PaymentRate, 4) AS PaymentRate, round(TotalSpent, 2) AS TotalSpent, Recency, CustomerLifetime,
   round(AvgOrderValue, 6) AS AvgOrderValue, round(PurchaseVelocity, 4) AS PurchaseVelocity FROM rfm"""))
-register("A27_customer_performance", lambda s, d: money(k.customer_performance(invoices(s, d))),
+register("A27_customer_performance", lambda s, d: tidy(k.customer_performance(invoices(s, d)), AvgInvoiceValue=6, TotalRevenue=2, TotalProfit=3),
     sql(INV, f"""SELECT CustomerKey, count(InvoiceID) AS TotalInvoices, round(sum(NetAmount), 2) AS TotalRevenue,
-  round(avg(NetAmount), 6) AS AvgInvoiceValue, round(sum(NetAmount - NetAmount * 0.7::DOUBLE), 2) AS TotalProfit,
+  round(avg(NetAmount), 6) AS AvgInvoiceValue, round(sum(NetAmount - NetAmount * 0.7::DOUBLE), 3) AS TotalProfit,
   round(avg({margin_safe()}), 4) AS AvgMargin FROM invoices GROUP BY CustomerKey"""))
 register("A28_executive_kpis", lambda s, d: tidy(k.executive_kpis(invoices(s, d))),
     sql(INV, f"""SELECT count(DISTINCT CustomerKey) AS UniqueCustomers, count(*) AS Transactions,
   round(avg(NetAmount), 4) AS AvgTransactionValue, round(avg({margin_safe()}), 4) AS AvgMargin FROM invoices"""))
 PROFIT = """profit0 AS (
   SELECT CustomerKey, round(sum(NetAmount), 2) AS TotalRevenue,
-    CAST(round(CAST(round(sum(NetAmount), 2) / count(NetAmount) AS DECIMAL(20, 6)), 2) AS DOUBLE) AS AvgOrderValue,
-    count(NetAmount) AS OrderCount, round(sum(TaxAmount), 2) AS TotalTax, round(sum(NetAmount) * (1 - 0.7::DOUBLE), 2) AS TotalProfit
+    CAST(round(CAST(CAST(round(sum(NetAmount), 2) / count(NetAmount) AS VARCHAR) AS DECIMAL(30, 12)), 2) AS DOUBLE) AS AvgOrderValue,
+    count(NetAmount) AS OrderCount, round(sum(TaxAmount), 2) AS TotalTax, CAST(round(CAST(CAST(round(sum(NetAmount), 2) * (1 - 0.7::DOUBLE) AS VARCHAR) AS DECIMAL(30, 12)), 2) AS DOUBLE) AS TotalProfit
   FROM invoices GROUP BY CustomerKey),
 profit AS (SELECT *, coalesce(TotalProfit / TotalRevenue, 0) AS ProfitMargin FROM profit0)"""
-register("A29_customer_profitability", lambda s, d: tidy(cust.profitability(invoices(s, d)), 4, TotalProfit=1),
+register("A29_customer_profitability", lambda s, d: tidy(cust.profitability(invoices(s, d))),
     sql(f"{INV}, {PROFIT}", """SELECT CustomerKey, TotalRevenue, AvgOrderValue, OrderCount, TotalTax,
-  round(TotalProfit, 1) AS TotalProfit, round(ProfitMargin, 4) AS ProfitMargin FROM profit"""))
+  TotalProfit, round(ProfitMargin, 4) AS ProfitMargin FROM profit"""))
 
 
 def _segment_profit(s, d):

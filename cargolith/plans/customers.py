@@ -95,7 +95,7 @@ def profitability(invoices: DataFrame, cost_ratio: float = 0.7) -> DataFrame:
         F.round(F.round(F.sum(net()), 2) / F.count("NetAmount"), 2).alias("AvgOrderValue"),
         F.count("NetAmount").alias("OrderCount"),
         F.round(F.sum("TaxAmount"), 2).alias("TotalTax"),
-        F.round(F.sum(net()) * (1 - cost_ratio), 2).alias("TotalProfit"),
+        F.round(F.round(F.sum(net()), 2) * (1 - cost_ratio), 2).alias("TotalProfit"),
     )
     return grouped.withColumn("ProfitMargin", F.coalesce(F.try_divide("TotalProfit", "TotalRevenue"), F.lit(0.0)))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,3 +62,9 @@ def tiny(df: DataFrame) -> DataFrame:
     AQE compare their measured size with the broadcast threshold.
     """
     return F.broadcast(df)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for an intermediate table, inside the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

@@ -62,7 +62,7 @@ def main(folder, patterns):
     import __spark_entry__ as entry
     from cargolith.session import build_session
 
-    spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled="false",
+    spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
                           spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle(folder)
