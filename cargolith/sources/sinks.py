@@ -51,8 +51,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, chunk_rows: int = 5000, **op
     ).mode("append").save()
 
 
-def csv_report(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def csv_report(df: DataFrame, path: str, null_text: str = "") -> None:
+    df.write.mode("overwrite").option("header", True).option("nullValue", null_text).csv(path)
 
 
 def json_report(df: DataFrame, path: str) -> None:
@@ -60,6 +60,7 @@ def json_report(df: DataFrame, path: str) -> None:
 
 
 def write_rejects(rejects: dict[str, DataFrame], folder: str) -> None:
-    """One CSV folder per reject rule."""
+    """One CSV folder per reject rule; a missing key is written as ``nan``, for a blank
+    line would be skipped on reading."""
     for name, df in rejects.items():
-        csv_report(df, f"{folder}/{name}")
+        csv_report(df, f"{folder}/{name}", "nan")

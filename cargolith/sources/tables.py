@@ -63,7 +63,7 @@ class TableCache:
         self._held.clear()
 
 
-def csv_exports(spark: SparkSession, folder: str, wanted: dict[str, T.StructType]) -> dict[str, DataFrame]:
+def csv_exports(spark: SparkSession, folder: str, wanted: dict[str, T.StructType | str]) -> dict[str, DataFrame]:
     """Earlier exports that exist in ``folder``; absent ones are left out."""
     found = {}
     for name, schema in wanted.items():
