@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MODULES = ["kpis", "warehouse", "scans", "scalars", "features", "evaluate", "series"]
+MODULES = ["kpis", "warehouse", "scans", "scalars", "features", "evaluate", "series", "learn"]
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
 

@@ -126,6 +126,28 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: Sequence
     return grouped.select(*keys, *out)
 
 
+def quantile_rows(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """As :func:`quantiles`, in rows (keys, probability, quantile): the choice for many
+    probabilities. A distinct value meets only the probabilities whose position it covers."""
+    counted = running_sums(value_counts(df, value, keys), [value], ["cnt"], keys)
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    first, last, top = F.col("cum_cnt") - F.col("cnt"), F.col("cum_cnt"), F.col("total_cnt") - 1
+
+    def covers(index: Column) -> Column:
+        return (index >= first) & (index < last)
+
+    hit = F.filter(wanted, lambda p: covers(F.floor(p * top)) | covers(F.ceil(p * top)))
+    rows = counted.select(*keys, value, first.alias("__f"), last.alias("__l"), top.alias("__t"), F.explode(hit).alias("probability"))
+    place = F.col("probability") * F.col("__t")
+
+    def at(index: Column) -> Column:
+        return F.max(F.when((index >= F.col("__f")) & (index < F.col("__l")), F.col(value)))
+
+    ends = rows.groupBy(*keys, "probability").agg(at(F.floor(place)).alias("lo"), at(F.ceil(place)).alias("hi"), F.max("__t").alias("__t"))
+    part = F.col("probability") * F.col("__t")
+    return ends.select(*keys, "probability", (F.col("lo") + (F.col("hi") - F.col("lo")) * (part - F.floor(part))).alias("quantile"))
+
+
 def long_form(df: DataFrame, columns: Sequence[str], name: str = "column", value: str = "value") -> DataFrame:
     """(column, value) rows of several numeric columns: one pass instead of one per column."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value)) for c in columns]))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cargolith.functions import statistics as st
-from cargolith.operators.ranking import percent_rank_columns, quantiles, running_sums
+from cargolith.operators.ranking import percent_rank_columns, quantile_rows, quantiles, running_sums
 from cargolith.operators.stats import attach, histogram
 
 col, lit, when = F.col, F.lit, F.when
@@ -171,11 +171,11 @@ def autocorrelation(df: DataFrame, column: str = "e", order: str = "ds", max_lag
 
 def qq_points(df: DataFrame, grid: int = 99) -> DataFrame:
     """Normal Q-Q points of the residuals on a fixed grid of probabilities."""
-    probs = {f"q{i}": i / (grid + 1) for i in range(1, grid + 1)}
-    found = quantiles(df.select((col("y") - col("p")).alias("e")), "e", probs)
     normal = NormalDist()
-    rows = [F.struct(lit(p).alias("probability"), lit(normal.inv_cdf(p)).alias("theoretical"), col(q).alias("observed")) for q, p in probs.items()]
-    return found.select(F.inline(F.array(*rows)))
+    probs = [i / (grid + 1) for i in range(1, grid + 1)]
+    found = quantile_rows(df.select((col("y") - col("p")).alias("e")), "e", probs)
+    theory = df.sparkSession.createDataFrame([(p, normal.inv_cdf(p)) for p in probs], "probability double, theoretical double")
+    return theory.join(found, "probability").select("probability", "theoretical", col("quantile").alias("observed"))
 
 
 def quality_bands(metrics: DataFrame, minimum_r2: float = 0.45, maximum_mape: float = 35.0) -> DataFrame:
