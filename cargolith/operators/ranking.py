@@ -101,13 +101,48 @@ def percent_rank_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return out
 
 
-def quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: Sequence[str] = ()) -> DataFrame:
-    """Exact interpolated quantiles per key, one column per entry of ``probs``.
+def _near_targets(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str], accuracy: int = 10000) -> DataFrame:
+    """Running counts that are exact around the asked-for positions.
 
-    Works on running counts of distinct values, so neither a hot key nor a wide
-    value range has to fit in one task.
+    A first mergeable pass brackets each position between two approximate percentiles
+    (their rank error is bounded by 1/accuracy; the bracket is wider than that). A second
+    pass keeps the values inside a bracket and counts the others per gap. Only the kept
+    values, some thousandths of the data, are shuffled and ordered.
     """
-    counted = running_sums(value_counts(df, value, keys), [value], ["cnt"], keys)
+    margin = 4.0 / accuracy
+    lows, highs = [max(0.0, p - margin) for p in probs], [min(1.0, p + margin) for p in probs]
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
+    x = F.col(value)
+
+    def marks(points: list[float], name: str) -> Column:
+        return F.percentile_approx(value, points, accuracy).alias(name)
+
+    def passed(name: str, test) -> Column:
+        """How many marks the value has passed."""
+        if len(probs) > 16:
+            return F.size(F.filter(name, test))
+        out = F.lit(0)
+        for i in range(len(probs)):
+            out = out + test(F.col(name)[i]).cast("int")
+        return out
+
+    ends = rows.groupBy(*keys).agg(marks(lows, "__lo"), marks(highs, "__hi"), F.count(F.lit(1)).alias("__n"))
+    joined = rows.join(ends, list(keys)) if keys else rows.crossJoin(tiny(ends))
+    entered, left = passed("__lo", lambda e: e <= x), passed("__hi", lambda e: e < x)
+    # Both counts grow with the value, so their sum orders gaps and brackets. A group
+    # of at most ``accuracy`` rows is kept whole.
+    small = F.col("__n") <= accuracy
+    slots = joined.select(
+        *keys, F.when(small, 0).otherwise(entered + left).alias("__slot"), F.when(small | (entered > left), x).alias(value)
+    )
+    counts = slots.groupBy(*keys, "__slot", value).agg(F.count(F.lit(1)).alias("cnt"))
+    return running_sums(counts, ["__slot", value], ["cnt"], keys)
+
+
+def quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: Sequence[str] = ()) -> DataFrame:
+    """Exact interpolated quantiles per key, one column per entry of ``probs``. Neither a
+    hot key nor a wide value range has to fit in one task."""
+    counted = _near_targets(df, value, list(probs.values()), keys)
     first, last = F.col("cum_cnt") - F.col("cnt"), F.col("cum_cnt")
 
     def at(index: Column) -> Column:
@@ -129,7 +164,7 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: Sequence
 def quantile_rows(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
     """As :func:`quantiles`, in rows (keys, probability, quantile): the choice for many
     probabilities. A distinct value meets only the probabilities whose position it covers."""
-    counted = running_sums(value_counts(df, value, keys), [value], ["cnt"], keys)
+    counted = _near_targets(df, value, probs, keys)
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     first, last, top = F.col("cum_cnt") - F.col("cnt"), F.col("cum_cnt"), F.col("total_cnt") - 1
 

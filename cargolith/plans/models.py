@@ -64,8 +64,8 @@ REGRESSORS: dict[str, Callable] = {
 CLASSIFIERS: dict[str, Callable] = {
     "random_forest": lambda: RandomForestClassifier(numTrees=20, maxDepth=6, seed=SEED, weightCol="weight"),
     "gradient_boost": lambda: GBTClassifier(maxIter=20, maxDepth=4, seed=SEED),
-    "logistic": lambda: LogisticRegression(regParam=0.01, weightCol="weight"),
-    "linear_svm": lambda: LinearSVC(regParam=0.01, weightCol="weight"),
+    "logistic": lambda: LogisticRegression(regParam=0.01, maxIter=50, weightCol="weight"),
+    "linear_svm": lambda: LinearSVC(regParam=0.01, maxIter=20, weightCol="weight"),
 }
 # Tuning ranges by model and parameter.
 REGRESSION_GRIDS = {
