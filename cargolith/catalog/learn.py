@@ -37,9 +37,8 @@ def invoice_frame(s, d):
 
 
 def regression_data(s, d):
-    """Shipment value from everything but itself: a target with real signal."""
-    feats = [c for c in DELIVERY if c not in ("ShipmentValue", "ValuePerWeight")]
-    return m.design(shipment_frame(s, d), feats, "ShipmentValue", ["ShipmentID"]), feats
+    """Delivery variance from what is known at departure."""
+    return m.design(shipment_frame(s, d), DELIVERY, "DeliveryVariance", ["ShipmentID"]), DELIVERY
 
 
 def class_data(s, d):
@@ -85,8 +84,7 @@ WHERE ((((ShipmentID % {m.MODULUS}) + {m.SEED}) * {m.MULTIPLIER}) % {m.MODULUS}
 
 def _time_folds(s, d):
     base = m.time_folds(shipment_frame(s, d), "ShipmentDate", 5)
-    feats = [c for c in DELIVERY if c not in ("ShipmentValue", "ValuePerWeight")]
-    data = m.design(base, feats, "ShipmentValue", ["fold"]).persist()
+    data = m.design(base, DELIVERY, "DeliveryVariance", ["fold"]).persist()
     try:
         scores = m.expanding_scores(data, m.REGRESSORS["ridge"](), "regression", 5)
     finally:
@@ -191,10 +189,9 @@ register("R10_stacking", _stacking)
 def _regression_flow(s, d):
     """Features, selection, split, fit, evaluation, best model."""
     frame = shipment_frame(s, d)
-    feats = [c for c in DELIVERY if c not in ("ShipmentValue", "ValuePerWeight")]
-    ranked = sel.ranked(sel.f_regression(frame, feats, "ShipmentValue"), "f_regression", 8)
+    ranked = sel.ranked(sel.f_regression(frame, DELIVERY, "DeliveryVariance"), "f_regression", 8)
     chosen = [r.feature for r in ranked.filter("selected").orderBy("rank").collect()]
-    train, test = m.train_test(m.design(frame, chosen, "ShipmentValue", ["ShipmentID"]), "ShipmentID")
+    train, test = m.train_test(m.design(frame, chosen, "DeliveryVariance", ["ShipmentID"]), "ShipmentID")
     fitted = m.fit_all(train, subset(m.REGRESSORS, "ridge", "gradient_boost"))
     return tidy(ev.compare_models(ev.regression_metrics(m.predictions(fitted, test, "ShipmentID"), ["model"])))
 
@@ -231,7 +228,7 @@ register("C02_choice_of_k", lambda s, d: tidy(m.choose_k(m.standardised(_rfm(s,
 def _saved(s, d):
     data, feats = regression_data(s, d)
     train, test = m.train_test(data, "ShipmentID")
-    path = f"{scratch_path(s, 'models')}/ShipmentValue/ridge"
+    path = f"{scratch_path(s, 'models')}/DeliveryVariance/ridge"
     m.save(m.fit_all(train, subset(m.REGRESSORS, "ridge"))["ridge"], path, {"model": "ridge", "features": feats})
     model, meta = m.load(s, path)
     out = model.transform(test).withColumn("features_used", lit(len(meta["features"])))

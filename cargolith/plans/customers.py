@@ -153,7 +153,7 @@ def risk_scores(base: DataFrame) -> DataFrame:
     return (
         scored.withColumn("RecencyRisk", clamp(F.col("Recency") / 365, 0.0, 1.0))
         .withColumn("FrequencyRisk", clamp(1 / (F.col("Frequency") + 1), 0.0, 1.0))
-        .withColumn("MonetaryRisk", clamp((mean - F.col("Monetary")) / mean, 0.0, 1.0))
+        .withColumn("MonetaryRisk", clamp(F.try_divide(mean - F.col("Monetary"), mean), 0.0, 1.0))
         .withColumn(
             "RiskScore", F.col("RecencyRisk") * 0.4 + F.col("FrequencyRisk") * 0.3 + F.col("MonetaryRisk") * 0.3
         )

@@ -29,7 +29,7 @@ def distribution_steps(reference: DataFrame, current: DataFrame, columns: Sequen
 
 
 def kolmogorov_smirnov(steps: DataFrame) -> DataFrame:
-    gap = F.abs(col("cum_ref") / col("total_ref") - col("cum_cur") / col("total_cur"))
+    gap = F.abs(F.try_divide("cum_ref", "total_ref") - F.try_divide("cum_cur", "total_cur"))
     one = steps.groupBy("column").agg(F.max(gap).alias("ks_statistic"), F.max("total_ref").alias("n1"), F.max("total_cur").alias("n2"))
     x = F.sqrt(col("n1") * col("n2") / (col("n1") + col("n2"))) * col("ks_statistic")
     return one.withColumn("ks_pvalue", st.kolmogorov_tail(x))
@@ -50,7 +50,7 @@ def mann_whitney(steps: DataFrame) -> DataFrame:
     u = col("r1") - col("n1") * (col("n1") + 1) / 2
     mean = col("n1") * col("n2") / 2
     sd = F.sqrt(col("n1") * col("n2") / 12 * ((n + 1) - col("ties") / (n * (n - 1))))
-    z = F.greatest(F.abs(u - mean) - 0.5, lit(0.0)) / sd
+    z = F.try_divide(F.greatest(F.abs(u - mean) - 0.5, lit(0.0)), sd)
     return one.select("column", u.alias("mw_statistic"), st.two_sided_normal(z).alias("mw_pvalue"))
 
 
@@ -131,8 +131,8 @@ def degradation(current: DataFrame, baseline: DataFrame, error_rise: float = 0.1
     """Current model metrics against their baseline (one row per model)."""
     b = baseline.select("model", col("rmse").alias("baseline_rmse"), col("r2").alias("baseline_r2"))
     out = current.select("model", "rmse", "r2").join(b, "model")
-    out = out.withColumn("rmse_change", (col("rmse") - col("baseline_rmse")) / col("baseline_rmse")).withColumn(
-        "r2_change", (col("baseline_r2") - col("r2")) / col("baseline_r2")
+    out = out.withColumn("rmse_change", F.try_divide(col("rmse") - col("baseline_rmse"), col("baseline_rmse"))).withColumn(
+        "r2_change", F.try_divide(col("baseline_r2") - col("r2"), col("baseline_r2"))
     )
     return out.withColumn("rmse_alert", col("rmse_change") > error_rise).withColumn("r2_alert", col("r2_change") > fit_drop)
 
@@ -140,5 +140,5 @@ def degradation(current: DataFrame, baseline: DataFrame, error_rise: float = 0.1
 def accuracy_degradation(current: DataFrame, baseline: DataFrame, drop: float = 0.05) -> DataFrame:
     b = baseline.select("model", col("accuracy").alias("baseline_accuracy"))
     out = current.select("model", "accuracy").join(b, "model")
-    out = out.withColumn("accuracy_change", (col("baseline_accuracy") - col("accuracy")) / col("baseline_accuracy"))
+    out = out.withColumn("accuracy_change", F.try_divide(col("baseline_accuracy") - col("accuracy"), col("baseline_accuracy")))
     return out.withColumn("accuracy_alert", col("accuracy_change") > drop)

@@ -24,7 +24,7 @@ def regression_metrics(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.count(lit(1)).alias("n"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg("__abs").alias("mae"),
-        (1 - F.sum(e * e) / (F.var_pop("y") * F.count("y"))).alias("r2"),
+        (1 - F.try_divide(F.sum(e * e), F.var_pop("y") * F.count("y"))).alias("r2"),
         (F.avg(F.abs(e / (col("y") + 1e-8))) * 100).alias("mape"),
         F.max("__abs").alias("max_error"),
         F.avg(e).alias("residual_mean"),
@@ -38,7 +38,8 @@ def residual_normality(df: DataFrame) -> DataFrame:
     """Omnibus test on skewness and kurtosis of the residuals."""
     e = col("y") - col("p")
     one = df.agg(F.count(lit(1)).cast("double").alias("n"), F.skewness(e).alias("g1"), F.kurtosis(e).alias("g2"))
-    z1, z2 = st.skew_z(col("g1"), col("n")), st.kurtosis_z(col("g2"), col("n"))
+    # Defined from eight rows on.
+    z1, z2 = (when(col("n") >= 8, z) for z in (st.skew_z(col("g1"), col("n")), st.kurtosis_z(col("g2"), col("n"))))
     return one.withColumn("k2", z1 * z1 + z2 * z2).withColumn("p_value", st.chi2_two_tail(col("k2"))).withColumn(
         "residuals_normal", col("p_value") > 0.05
     )
@@ -93,7 +94,7 @@ def score_steps(df: DataFrame, score: str = "score") -> DataFrame:
 def roc_points(df: DataFrame, score: str = "score") -> DataFrame:
     s = score_steps(df, score)
     return s.select(
-        col(score).alias("threshold"), (col("cum_pos") / col("total_pos")).alias("tpr"), (col("cum_neg") / col("total_neg")).alias("fpr")
+        col(score).alias("threshold"), F.try_divide("cum_pos", "total_pos").alias("tpr"), F.try_divide("cum_neg", "total_neg").alias("fpr")
     )
 
 
@@ -101,7 +102,7 @@ def roc_auc(df: DataFrame, score: str = "score") -> DataFrame:
     """Area under the curve: each negative is passed by the positives above it, ties count half."""
     s = score_steps(df, score)
     area = F.sum(col("neg") * (col("cum_pos") - col("pos") / 2))
-    return s.agg((area / (F.max("total_pos") * F.max("total_neg"))).alias("roc_auc"))
+    return s.agg(F.try_divide(area, F.max("total_pos") * F.max("total_neg")).alias("roc_auc"))
 
 
 def binary_metrics(df: DataFrame, score: str = "score") -> DataFrame:
@@ -163,7 +164,7 @@ def autocorrelation(df: DataFrame, column: str = "e", order: str = "ds", max_lag
     centred = centred.withColumn("__c", col(column) - col("__m"))
     lagged = centred.select("__n", "__c", *[F.lag("__c", k).over(w).alias(f"l{k}") for k in range(1, max_lags + 1)])
     base = F.sum(col("__c") * col("__c"))
-    one = lagged.agg(F.max("__n").alias("n"), *[(F.sum(col("__c") * col(f"l{k}")) / base).alias(f"l{k}") for k in range(1, max_lags + 1)])
+    one = lagged.agg(F.max("__n").alias("n"), *[F.try_divide(F.sum(col("__c") * col(f"l{k}")), base).alias(f"l{k}") for k in range(1, max_lags + 1)])
     pairs = F.explode(F.array(*[F.struct(lit(k).alias("lag"), col(f"l{k}").alias("acf")) for k in range(1, max_lags + 1)]))
     limit = F.least(lit(max_lags), F.floor(col("n") / 4))
     return one.select("n", pairs.alias("q")).filter(col("q.lag") <= limit).select("q.lag", "q.acf")

@@ -25,7 +25,9 @@ def f_regression(df: DataFrame, features: Sequence[str], target: str) -> DataFra
     one = df.agg(F.count(target).alias("__n"), *[F.corr(col(c).cast("double"), col(target).cast("double")).alias(c) for c in features])
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), col(c).alias("r")) for c in features]))
     r2 = col("p.r") * col("p.r")
-    return one.select("__n", pairs.alias("p")).select("p.feature", (r2 / (1 - r2) * (col("__n") - 2)).alias("score"))
+    # A perfect relation has an infinite score; a constant feature has none.
+    score = F.when(r2 >= 1, F.lit(float("inf"))).otherwise(F.try_divide(r2, 1 - r2) * (col("__n") - 2))
+    return one.select("__n", pairs.alias("p")).select("p.feature", score.alias("score"))
 
 
 def f_classification(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -41,9 +43,9 @@ def f_classification(df: DataFrame, features: Sequence[str], label: str) -> Data
     # One row per feature, hence a broadcast bounded by the number of features.
     joined = groups.join(F.broadcast(totals), "feature")
     return joined.groupBy("feature").agg(
-        (
-            F.sum(col("n") * F.pow(col("mean") - col("grand"), 2)) / (F.max("k") - 1)
-            / (F.sum(col("n") * col("var")) / (F.max("total") - F.max("k")))
+        F.try_divide(
+            F.try_divide(F.sum(col("n") * F.pow(col("mean") - col("grand"), 2)), F.max("k") - 1),
+            F.try_divide(F.sum(col("n") * col("var")), F.max("total") - F.max("k")),
         ).alias("score")
     )
 

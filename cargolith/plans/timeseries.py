@@ -77,9 +77,12 @@ def _smooth(y: np.ndarray, horizon: int) -> np.ndarray:
     grid = np.array([0.05, 0.1, 0.3, 0.5, 0.8])
     a, b, g = (m.ravel() for m in np.meshgrid(grid, grid * 0.5, grid * 0.5 if seasonal else np.zeros(1), indexing="ij"))
     if seasonal:
-        level = np.full_like(a, y[:period].mean())
-        trend = np.full_like(a, (y[period:2 * period].mean() - y[:period].mean()) / period)
-        season = np.tile((y[:period] - y[:period].mean())[:, None], (1, len(a)))
+        # First cycle: slope between cycle means, season as the detrended rest.
+        slope = (y[period:2 * period].mean() - y[:period].mean()) / period
+        offsets = np.arange(period) - (period - 1) / 2
+        level = np.full_like(a, y[:period].mean() + slope * offsets[-1])
+        trend = np.full_like(a, slope)
+        season = np.tile((y[:period] - y[:period].mean() - slope * offsets)[:, None], (1, len(a)))
         start = period
     else:
         level, trend = np.full_like(a, y[0]), np.full_like(a, y[1] - y[0] if n > 1 else 0.0)
@@ -215,8 +218,8 @@ def decomposition(series: DataFrame, period: int = 7) -> DataFrame:
 def seasonality(series: DataFrame, period: int = 7) -> DataFrame:
     parts = decomposition(series, period)
     return parts.groupBy("series_id").agg(
-        (F.var_pop("seasonal") / F.var_pop("y")).alias("seasonal_strength"),
-        (F.var_pop("trend") / F.var_pop("y")).alias("trend_strength"),
+        F.try_divide(F.var_pop("seasonal"), F.var_pop("y")).alias("seasonal_strength"),
+        F.try_divide(F.var_pop("trend"), F.var_pop("y")).alias("trend_strength"),
         F.var_pop("resid").alias("residual_variance"),
     )
 
@@ -233,7 +236,9 @@ def trend(series: DataFrame, with_p: bool = True) -> DataFrame:
     kind = when(F.abs("slope") < 0.01, "stationary").when(col("slope") > 0, "increasing").otherwise("decreasing")
     one = one.withColumn("trend_type", kind)
     df = (col("n") - 2).cast("double")
-    one = one.withColumn("t_statistic", F.sqrt(col("r_squared") * df / (1 - col("r_squared"))))
+    # A perfect fit has an infinite statistic.
+    t = when(col("r_squared") >= 1, lit(float("inf"))).otherwise(F.sqrt(F.try_divide(col("r_squared") * df, 1 - col("r_squared"))))
+    one = one.withColumn("t_statistic", t)
     if not with_p:
         return one
     return one.withColumn("p_value", st.student_p_column(col("t_statistic"), df)).withColumn("is_significant", col("p_value") < 0.05)
@@ -267,7 +272,7 @@ def monthly_projection(monthly: DataFrame, factors: DataFrame, avg_value: DataFr
     x = col("i").cast("double")
     line = idx.agg(
         F.regr_intercept(col("shipments").cast("double"), x).alias("base"),
-        (F.regr_slope(col("shipments").cast("double"), x) / F.regr_intercept(col("shipments").cast("double"), x)).alias("growth"),
+        F.try_divide(F.regr_slope(col("shipments").cast("double"), x), F.regr_intercept(col("shipments").cast("double"), x)).alias("growth"),
         F.max("month").alias("last"),
         F.count(lit(1)).alias("n"),
     )
