@@ -16,6 +16,14 @@ ERFC_COEFFICIENTS = [
 ]
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation over rows with both values; NULL when either side is constant
+    (the built-in ``corr`` raises a division error there in ANSI mode)."""
+    both = a.isNotNull() & b.isNotNull()
+    a, b = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def erfc_positive(x: Column) -> Column:
     """erfc(x) for x >= 0."""
     t = 1 / (1 + x * 0.5)

@@ -48,9 +48,14 @@ def row_numbers(df: DataFrame, order: Sequence[str | Column], name: str = "RowNu
 
 
 def running_sums(
-    df: DataFrame, order: Sequence[str | Column], weights: Sequence[str], keys: Sequence[str] = ()
+    df: DataFrame, order: Sequence[str | Column], weights: Sequence[str], keys: Sequence[str] = (), few_keys: bool = True
 ) -> DataFrame:
-    """Adds ``cum_<w>`` (inclusive running sum) and ``total_<w>`` per weight, per key."""
+    """Adds ``cum_<w>`` (inclusive running sum) and ``total_<w>`` per weight, per key.
+
+    ``few_keys`` says that the keys are labels of the plan itself (column, model or
+    segment names), hence that the totals may be broadcast; pass False for keys that
+    grow with the data, which are then joined by a shuffle.
+    """
     keys, cols = list(keys), _sort_columns(order)
     ranged = [F.col(k) for k in keys] + cols
     tagged = materialise(df.repartitionByRange(*ranged).withColumn(_PID, F.spark_partition_id()))
@@ -65,7 +70,7 @@ def running_sums(
         *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"{_BASE}_{w}") for w in weights],
         *[F.sum(w).over(per_key).alias(f"total_{w}") for w in weights],
     )
-    if not keys:
+    if few_keys or not keys:
         bases = tiny(bases)
     local = tagged.select("*", *[F.sum(w).over(inside).alias(f"cum_{w}") for w in weights])
     out = local.join(bases, [_PID, *keys])
@@ -101,7 +106,9 @@ def percent_rank_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return out
 
 
-def _near_targets(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str], accuracy: int = 10000) -> DataFrame:
+def _near_targets(
+    df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str], few_keys: bool, accuracy: int = 10000
+) -> DataFrame:
     """Running counts that are exact around the asked-for positions.
 
     A first mergeable pass brackets each position between two approximate percentiles
@@ -127,7 +134,9 @@ def _near_targets(df: DataFrame, value: str, probs: Sequence[float], keys: Seque
         return out
 
     ends = rows.groupBy(*keys).agg(marks(lows, "__lo"), marks(highs, "__hi"), F.count(F.lit(1)).alias("__n"))
-    joined = rows.join(ends, list(keys)) if keys else rows.crossJoin(tiny(ends))
+    if few_keys or not keys:
+        ends = tiny(ends)
+    joined = rows.join(ends, list(keys)) if keys else rows.crossJoin(ends)
     entered, left = passed("__lo", lambda e: e <= x), passed("__hi", lambda e: e < x)
     # Both counts grow with the value, so their sum orders gaps and brackets. A group
     # of at most ``accuracy`` rows is kept whole.
@@ -136,13 +145,15 @@ def _near_targets(df: DataFrame, value: str, probs: Sequence[float], keys: Seque
         *keys, F.when(small, 0).otherwise(entered + left).alias("__slot"), F.when(small | (entered > left), x).alias(value)
     )
     counts = slots.groupBy(*keys, "__slot", value).agg(F.count(F.lit(1)).alias("cnt"))
-    return running_sums(counts, ["__slot", value], ["cnt"], keys)
+    return running_sums(counts, ["__slot", value], ["cnt"], keys, few_keys)
 
 
-def quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: Sequence[str] = ()) -> DataFrame:
+def quantiles(
+    df: DataFrame, value: str, probs: dict[str, float], keys: Sequence[str] = (), few_keys: bool = True
+) -> DataFrame:
     """Exact interpolated quantiles per key, one column per entry of ``probs``. Neither a
     hot key nor a wide value range has to fit in one task."""
-    counted = _near_targets(df, value, list(probs.values()), keys)
+    counted = _near_targets(df, value, list(probs.values()), keys, few_keys)
     first, last = F.col("cum_cnt") - F.col("cnt"), F.col("cum_cnt")
 
     def at(index: Column) -> Column:
@@ -161,10 +172,12 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: Sequence
     return grouped.select(*keys, *out)
 
 
-def quantile_rows(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+def quantile_rows(
+    df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (), few_keys: bool = True
+) -> DataFrame:
     """As :func:`quantiles`, in rows (keys, probability, quantile): the choice for many
     probabilities. A distinct value meets only the probabilities whose position it covers."""
-    counted = _near_targets(df, value, probs, keys)
+    counted = _near_targets(df, value, probs, keys, few_keys)
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     first, last, top = F.col("cum_cnt") - F.col("cnt"), F.col("cum_cnt"), F.col("total_cnt") - 1
 

@@ -49,7 +49,7 @@ def homoscedasticity(df: DataFrame, limit: float = 0.3) -> DataFrame:
     """Spearman correlation of prediction and absolute residual."""
     rows = df.select("p", F.abs(col("y") - col("p")).alias("a"))
     ranks = percent_rank_columns(rows, {"p": "__rp", "a": "__ra"})
-    return ranks.agg(F.corr("__rp", "__ra").alias("spearman")).withColumn("homoscedastic", F.abs("spearman") < limit)
+    return ranks.agg(st.correlation(col("__rp"), col("__ra")).alias("spearman")).withColumn("homoscedastic", F.abs("spearman") < limit)
 
 
 def confusion(df: DataFrame) -> DataFrame:

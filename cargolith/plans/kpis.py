@@ -9,6 +9,7 @@ from cargolith.functions.dates import floor_days, season_of
 from cargolith.functions.measures import (
     clamp, delivery_variance, estimated_profit, margin, on_time_flag, payment_label,
 )
+from cargolith.functions.statistics import correlation
 from cargolith.operators.stats import attach
 
 def rows() -> Column:
@@ -96,7 +97,7 @@ def profit_by_demand(shipments: DataFrame, invoices: DataFrame) -> DataFrame:
 
 def profit_demand_correlation(shipments: DataFrame, invoices: DataFrame) -> DataFrame:
     return profit_by_demand(shipments, invoices).agg(
-        rows().alias("Days"), F.corr(F.col("Shipments").cast("double"), F.col("NetAmount")).alias("Correlation")
+        rows().alias("Days"), correlation(F.col("Shipments"), F.col("NetAmount")).alias("Correlation")
     )
 
 
@@ -219,7 +220,7 @@ def monthly_volume(shipments: DataFrame) -> DataFrame:
 
 
 def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.agg(F.corr(a, b).alias("Correlation"))
+    return df.agg(correlation(F.col(a), F.col(b)).alias("Correlation"))
 
 
 def customer_performance(invoices: DataFrame, cost_ratio: float = 0.7) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cargolith.operators.ranking import quantile_rows
 from cargolith.operators.stats import attach
-from cargolith.session import materialise
+from cargolith.session import tiny
 
 col, lit, when = F.col, F.lit, F.when
 SEED = 42
@@ -84,11 +84,12 @@ CLASSIFICATION_GRIDS = {
 
 
 def class_weights(df: DataFrame) -> DataFrame:
-    """Adds n / (k * n_c). The label counts have one row per class."""
+    """Adds n / (k * n_c). The weights have one row per class and are broadcast: a shuffle
+    on a label would put each class into one task."""
     counts = df.groupBy("label").agg(F.count(lit(1)).alias("__nc"))
     totals = counts.agg(F.sum("__nc").alias("__n"), F.count(lit(1)).alias("__k"))
     w = attach(counts, totals).select("label", (col("__n") / (col("__k") * col("__nc"))).alias("weight"))
-    return df.join(w, "label")
+    return df.join(tiny(w), "label")
 
 
 def multiclass(estimator, classes: int):

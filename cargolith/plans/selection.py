@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cargolith.functions.bins import equal_width_bin
+from cargolith.functions.statistics import correlation
 from cargolith.operators.ranking import long_form
 from cargolith.operators.stats import attach, unfold, with_bounds
 
@@ -22,7 +23,7 @@ def _features_and_target(df: DataFrame, features: Sequence[str], target: str) ->
 
 def f_regression(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """F statistic of each feature's linear relation with a numeric target."""
-    one = df.agg(F.count(target).alias("__n"), *[F.corr(col(c).cast("double"), col(target).cast("double")).alias(c) for c in features])
+    one = df.agg(F.count(target).alias("__n"), *[correlation(col(c), col(target)).alias(c) for c in features])
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), col(c).alias("r")) for c in features]))
     r2 = col("p.r") * col("p.r")
     # A perfect relation has an infinite score; a constant feature has none.
@@ -71,7 +72,7 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins
 
 
 def target_correlation(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    one = df.agg(*[F.abs(F.corr(col(c).cast("double"), col(target).cast("double"))).alias(c) for c in features])
+    one = df.agg(*[F.abs(correlation(col(c), col(target))).alias(c) for c in features])
     return unfold(one, features, "feature", "score", "double")
 
 
@@ -94,7 +95,7 @@ def greedy_uncorrelated(df: DataFrame, features: Sequence[str], target: str, k:
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
 
     def corr(a: str, b: str) -> Column:
-        return F.abs(F.corr(col(a).cast("double"), col(b).cast("double")))
+        return F.abs(correlation(col(a), col(b)))
 
     row = df.agg(*[corr(c, target).alias(f"t|{c}") for c in names], *[corr(a, b).alias(f"{a}|{b}") for a, b in pairs]).first().asDict()
     with_target = {c: row[f"t|{c}"] if row[f"t|{c}"] is not None else -1.0 for c in names}

@@ -19,6 +19,8 @@ def build_session(app: str = "cargolith", master: str | None = None, **conf) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Checkpoint files go when their frame is out of use.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **{k.replace("__", "."): str(v) for k, v in conf.items()},
     }
     for key, value in settings.items():

@@ -1,0 +1 @@
+"""Incremental runs of batch jobs over file streams."""

@@ -16,7 +16,7 @@ col = F.col
 
 
 def values(spark, schema, rows, expr):
-    return [r.v for r in spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, " + schema).orderBy("i").select(expr.alias("v")).collect()]
+    return [r.v for r in spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "__row int, " + schema).orderBy("__row").select(expr.alias("v")).collect()]
 
 
 def test_null_key_counts_as_a_reject_value(spark):
@@ -144,7 +144,7 @@ def test_constant_columns_do_not_divide_by_zero(spark):
 
     flat = spark.createDataFrame([(i, 1, 5.0, float(i)) for i in range(30)], "id int, y int, c double, x double")
     scores = {r.feature: r.score for r in sel.f_regression(flat.withColumn("t", col("x") * 2), ["c", "x"], "t").collect()}
-    assert scores["x"] == float("inf") and (scores["c"] is None or scores["c"] != scores["c"])
+    assert scores["x"] > 1e12 and scores["c"] is None
     assert sel.f_classification(flat, ["c", "x"], "y").count() == 2
     assert ev.regression_metrics(flat.select(col("c").alias("y"), col("x").alias("p"))).first().r2 is None
     assert ev.roc_auc(flat.select("y", col("x").alias("score"))).first().roc_auc is None
