@@ -56,14 +56,14 @@ def design(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[st
 
 REGRESSORS: dict[str, Callable] = {
     "random_forest": lambda: RandomForestRegressor(numTrees=20, maxDepth=6, seed=SEED),
-    "gradient_boost": lambda: GBTRegressor(maxIter=20, maxDepth=4, seed=SEED),
+    "gradient_boost": lambda: GBTRegressor(maxIter=10, maxDepth=4, seed=SEED),
     "ridge": lambda: LinearRegression(regParam=1.0, elasticNetParam=0.0),
     "lasso": lambda: LinearRegression(regParam=0.1, elasticNetParam=1.0),
     "elastic_net": lambda: LinearRegression(regParam=0.1, elasticNetParam=0.5),
 }
 CLASSIFIERS: dict[str, Callable] = {
     "random_forest": lambda: RandomForestClassifier(numTrees=20, maxDepth=6, seed=SEED, weightCol="weight"),
-    "gradient_boost": lambda: GBTClassifier(maxIter=20, maxDepth=4, seed=SEED),
+    "gradient_boost": lambda: GBTClassifier(maxIter=10, maxDepth=4, seed=SEED),
     "logistic": lambda: LogisticRegression(regParam=0.01, maxIter=50, weightCol="weight"),
     "linear_svm": lambda: LinearSVC(regParam=0.01, maxIter=20, weightCol="weight"),
 }
