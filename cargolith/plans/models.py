@@ -227,13 +227,17 @@ def weighted_vote(weights: dict[str, float]) -> Column:
     return -F.array_max(totals)["neg"]
 
 
+def _times(values: Column, factor: float) -> Column:
+    return F.transform(values, lambda x: x * factor)
+
+
 def soft_vote(models: dict, data: DataFrame, weights: dict[str, float]) -> DataFrame:
     """Weighted mean of class probabilities, then the likeliest class."""
     out, total = data, None
     for name, m in models.items():
         kept = out.columns
         out = m.transform(out).select(*kept, vector_to_array("probability").alias(f"prob_{name}"))
-        part = F.transform(col(f"prob_{name}"), lambda p, w=weights[name]: p * w)
+        part = _times(col(f"prob_{name}"), weights[name])
         total = part if total is None else F.zip_with(total, part, lambda a, b: a + b)
     out = out.withColumn("probability", total)
     best = F.array_position("probability", F.array_max("probability")) - 1
