@@ -140,10 +140,10 @@ register("A23_amount_histogram", lambda s, d: tidy(histogram(invoices(s, d), "Ne
     f"WITH {INV}, {histogram_sql('invoices', 'NetAmount', 30)}")
 register("A24_weight_value_correlation", lambda s, d: tidy(k.pearson(shipments(s, d, "TotalWeight", "ShipmentValue"), "TotalWeight", "ShipmentValue"), 6),
     sql(SHIP, "SELECT round(corr(TotalWeight, ShipmentValue), 6) AS Correlation FROM shipments"))
-register("A25_segment_box_plot", lambda s, d: tidy(cust.box_plot(scored(s, d)), 2),
-    sql(f"{INV}, {SCORES}", """SELECT Segment, round(quantile_cont(Monetary, 0.0), 2) AS Low, round(quantile_cont(Monetary, 0.25), 2) AS Q1,
-  round(quantile_cont(Monetary, 0.5), 2) AS Median, round(quantile_cont(Monetary, 0.75), 2) AS Q3,
-  round(quantile_cont(Monetary, 1.0), 2) AS High FROM scores GROUP BY Segment"""))
+register("A25_segment_box_plot", lambda s, d: tidy(cust.box_plot(scored(s, d)), 4),
+    sql(f"{INV}, {SCORES}", """SELECT Segment, round(quantile_cont(Monetary, 0.0), 4) AS Low, round(quantile_cont(Monetary, 0.25), 4) AS Q1,
+  round(quantile_cont(Monetary, 0.5), 4) AS Median, round(quantile_cont(Monetary, 0.75), 4) AS Q3,
+  round(quantile_cont(Monetary, 1.0), 4) AS High FROM scores GROUP BY Segment"""))
 register("A26_rfm_base", lambda s, d: money(cust.rfm_base(invoices(s, d), instant(AS_OF)).drop("MonetaryStd")),
     sql(f"{INV}, {SCORES}", """
 SELECT CustomerKey, FirstPurchase, LastPurchase, Frequency, round(Monetary, 2) AS Monetary, round(MonetaryMean, 6) AS MonetaryMean,
@@ -153,9 +153,9 @@ register("A27_customer_performance", lambda s, d: tidy(k.customer_performance(in
     sql(INV, f"""SELECT CustomerKey, count(InvoiceID) AS TotalInvoices, round(sum(NetAmount), 2) AS TotalRevenue,
   round(avg(NetAmount), 6) AS AvgInvoiceValue, round(sum(NetAmount - NetAmount * 0.7::DOUBLE), 3) AS TotalProfit,
   round(avg({margin_safe()}), 4) AS AvgMargin FROM invoices GROUP BY CustomerKey"""))
-register("A28_executive_kpis", lambda s, d: tidy(k.executive_kpis(invoices(s, d))),
+register("A28_executive_kpis", lambda s, d: tidy(k.executive_kpis(invoices(s, d)), 7),
     sql(INV, f"""SELECT count(DISTINCT CustomerKey) AS UniqueCustomers, count(*) AS Transactions,
-  round(avg(NetAmount), 4) AS AvgTransactionValue, round(avg({margin_safe()}), 4) AS AvgMargin FROM invoices"""))
+  round(avg(NetAmount), 7) AS AvgTransactionValue, round(avg({margin_safe()}), 7) AS AvgMargin FROM invoices"""))
 PROFIT = """profit0 AS (
   SELECT CustomerKey, round(sum(NetAmount), 2) AS TotalRevenue,
     CAST(round(CAST(CAST(round(sum(NetAmount), 2) / count(NetAmount) AS VARCHAR) AS DECIMAL(30, 12)), 2) AS DOUBLE) AS AvgOrderValue,
@@ -175,9 +175,9 @@ SEGPROFIT = """segprofit AS (
   SELECT Segment, sum(TotalRevenue) AS TotalRevenue, avg(TotalRevenue) AS AvgRevenue, sum(TotalProfit) AS TotalProfit,
     avg(TotalProfit) AS AvgProfit, sum(OrderCount)::BIGINT AS OrderCount, avg(ProfitMargin) AS AvgMargin
   FROM profit LEFT JOIN scores USING (CustomerKey) GROUP BY Segment)"""
-_SP = """SELECT Segment, round(TotalRevenue, 1) AS TotalRevenue, round(AvgRevenue, 1) AS AvgRevenue, round(TotalProfit, 0) AS TotalProfit,
-  round(AvgProfit, 1) AS AvgProfit, OrderCount, round(AvgMargin, 4) AS AvgMargin FROM segprofit"""
-_SPD = {"TotalRevenue": 1, "AvgRevenue": 1, "TotalProfit": 0, "AvgProfit": 1}
+_SP = """SELECT Segment, round(TotalRevenue, 2) AS TotalRevenue, round(AvgRevenue, 4) AS AvgRevenue, round(TotalProfit, 2) AS TotalProfit,
+  round(AvgProfit, 4) AS AvgProfit, OrderCount, round(AvgMargin, 4) AS AvgMargin FROM segprofit"""
+_SPD = {"TotalRevenue": 2, "AvgRevenue": 4, "TotalProfit": 2, "AvgProfit": 4}
 register("A30_segment_profitability", lambda s, d: tidy(_segment_profit(s, d), **_SPD),
     sql(f"{INV}, {SCORES}, {PROFIT}, {SEGPROFIT}", _SP))
 register("L02_top_segments", lambda s, d: tidy(cust.top_segments(_segment_profit(s, d)), **_SPD),
@@ -219,10 +219,10 @@ register("A37_median_mode_quantile",
     sql(INV, """SELECT round(quantile_cont(NetAmount, 0.1), 4) AS Q10, round(quantile_cont(NetAmount, 0.5), 4) AS Median,
   round(quantile_cont(NetAmount, 0.9), 4) AS Q90,
   (SELECT PaymentStatus FROM invoices GROUP BY 1 ORDER BY count(*) DESC, PaymentStatus LIMIT 1) AS ModeStatus FROM invoices"""))
-register("A40_seasonal_pattern", lambda s, d: tidy(k.seasonal_pattern(invoices(s, d))),
+register("A40_seasonal_pattern", lambda s, d: tidy(k.seasonal_pattern(invoices(s, d)), 7),
     sql(INV, f"""
-SELECT Season, Transactions, round(Transactions * 100.0::DOUBLE / sum(Transactions) OVER (), 4) AS SharePercentage,
-  round(AvgValue, 4) AS AvgTransactionValue, round(Transactions * 100.0::DOUBLE / avg(Transactions) OVER (), 4) AS SeasonalIndex,
+SELECT Season, Transactions, round(Transactions * 100.0::DOUBLE / sum(Transactions) OVER (), 7) AS SharePercentage,
+  round(AvgValue, 7) AS AvgTransactionValue, round(Transactions * 100.0::DOUBLE / avg(Transactions) OVER (), 7) AS SeasonalIndex,
   CAST(rank() OVER (ORDER BY Transactions DESC) AS INTEGER) AS Rank
 FROM (SELECT {season('InvoiceDate')} AS Season, count(*) AS Transactions, avg(NetAmount) AS AvgValue FROM invoices GROUP BY 1)"""))
 register("A41_payment_analytics", lambda s, d: money(k.payment_analytics(invoices(s, d))),
@@ -233,10 +233,10 @@ register("A42_operations_per_customer",
     sql(SHIP, f"""SELECT CustomerKey, count(*) AS TotalShipments, round(avg({DELIVERY}), 4) AS AvgDeliveryTime,
   sum({ON_TIME})::BIGINT AS OnTimeDeliveries,
   round(least(greatest(sum({ON_TIME}) / count(*) * 100, 0), 100), 4) AS OnTimePercentage FROM shipments GROUP BY CustomerKey"""))
-register("A43_monthly_finance", lambda s, d: money(k.monthly_finance(invoices(s, d))),
+register("A43_monthly_finance", lambda s, d: tidy(k.monthly_finance(invoices(s, d)), 7, TotalVolume=2),
     sql(INV, f"""SELECT strftime(InvoiceDate, '%Y-%m') AS YearMonth, count(*) AS TransactionCount,
-  round(avg(NetAmount), 4) AS AvgTransactionValue, round(sum(NetAmount), 2) AS TotalVolume,
-  round(avg({margin_safe()}), 4) AS AvgProfitMargin, count(DISTINCT CustomerKey) AS UniqueCustomers FROM invoices GROUP BY 1"""))
-register("A44_season_by_year", lambda s, d: tidy(k.season_by_year(invoices(s, d))),
+  round(avg(NetAmount), 7) AS AvgTransactionValue, round(sum(NetAmount), 2) AS TotalVolume,
+  round(avg({margin_safe()}), 7) AS AvgProfitMargin, count(DISTINCT CustomerKey) AS UniqueCustomers FROM invoices GROUP BY 1"""))
+register("A44_season_by_year", lambda s, d: tidy(k.season_by_year(invoices(s, d)), 7),
     sql(INV, f"""SELECT {season('InvoiceDate')} AS Season, CAST(year(InvoiceDate) AS INTEGER) AS Year, count(*) AS TransactionCount,
-  round(avg(NetAmount), 4) AS AvgTransactionValue, count(DISTINCT CustomerKey) AS UniqueCustomers FROM invoices GROUP BY 1, 2"""))
+  round(avg(NetAmount), 7) AS AvgTransactionValue, count(DISTINCT CustomerKey) AS UniqueCustomers FROM invoices GROUP BY 1, 2"""))
