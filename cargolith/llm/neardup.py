@@ -8,7 +8,9 @@ similarity so that a pair right on the threshold is missed with a probability un
 No bucket is ever expanded into all of its pairs. Equal shingle sets count once. Each text is first compared
 with the smallest member of its buckets; what is connected by then needs no further comparison, so that
 later rounds only look at buckets that still hold several components, and only at texts outside a bucket's
-largest component. The last round compares all pairs left, under a sketch distance inside the join.
+largest component. The last round compares all pairs left, inside the join by parity maps: a bit for each of ``MAP``
+hash values tells whether an odd number of shingles has it, so that two maps differ in at most as many bits as the
+sets differ in shingles. Pairs that differ in too many bits cannot reach the similarity; no other is lost.
 """
 
 from __future__ import annotations
@@ -24,11 +26,12 @@ from cargolith.llm.common import components, drop_stash, like, mix, shingles, st
 
 WIDTH = 7
 MISS = 1e-5
-#: Of 128 one-bit minima, at most so many differ between texts worth an exact comparison (similarity 0.8: 12.8 expected, deviation 3.4).
-SKETCH = 30
+#: Bits of a parity map, kept as MAP / 64 columns.
+MAP = 1024
+PARTS = [f"p{k}" for k in range(MAP // 64)]
 #: Pairs left per text from which one more round with other pivots comes before the exact one.
-DENSE = 8
-ROUNDS = 4
+DENSE = 500
+ROUNDS = 3
 
 
 def chunk_count(similarity: float, width: int = WIDTH, miss: float = MISS) -> int:
@@ -43,10 +46,10 @@ def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """doc_id, n (distinct shingles), two halves of the set's fingerprint, two sketch words, signature."""
+    """doc_id, n (distinct shingles), two halves of the set's fingerprint, its parity map, signature."""
     m = chunk_count(similarity)
     symbols = m * WIDTH
-    flips, factors = _multipliers(symbols + 128)
+    flips, factors = _multipliers(symbols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -54,31 +57,26 @@ def signatures(docs: DataFrame, size: int, similarity: float) -> DataFrame:
                 hashes, _, _, first = words(data, offs)
                 marks, at = shingles(hashes, first, size)
                 rows = j - i
+                odd = np.zeros((rows, MAP), np.uint8)
                 n, f1, f2 = np.zeros(rows, np.int64), np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
                 for k in range(rows):
                     own = np.unique(marks[at[k] : at[k + 1]])
+                    odd[k] = np.bincount((own >> np.uint64(20)) % np.uint64(MAP), minlength=MAP) & 1
                     n[k], f1[k], f2[k] = len(own), own.sum(dtype=np.uint64), mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
                 full = np.flatnonzero(n)
-                least = np.zeros((rows, symbols + 128), np.uint8)
-                bits = np.zeros((rows, 128), np.uint8)
-                if len(full):
-                    for c in range(symbols + 128):
-                        low = np.minimum.reduceat((marks ^ flips[c]) * factors[c], at[full])
-                        low = mix(low)
-                        if c < symbols:
-                            least[full, c] = (low >> np.uint64(56)).astype(np.uint8)
-                        else:
-                            bits[full, c - symbols] = (low >> np.uint64(63)).astype(np.uint8)
-                packed = np.packbits(bits, axis=1).reshape(rows, 2, 8).copy().view(np.int64)[:, :, 0]
+                least = np.zeros((rows, symbols), np.uint8)
+                for c in range(symbols if len(full) else 0):
+                    low = np.minimum.reduceat((marks ^ flips[c]) * factors[c], at[full])
+                    least[full, c] = (mix(low) >> np.uint64(56)).astype(np.uint8)
+                packed = np.packbits(odd, axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, rows), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
-                     pa.array(packed[:, 0].copy()), pa.array(packed[:, 1].copy()),
-                     pa.array([x.tobytes() for x in least[:, :symbols]], pa.binary())],
-                    ["doc_id", "n", "f1", "f2", "s1", "s2", "signature"],
+                     *(pa.array(packed[:, k].copy()) for k in range(len(PARTS))), pa.array([x.tobytes() for x in least], pa.binary())],
+                    ["doc_id", "n", "f1", "f2", *PARTS, "signature"],
                 )
 
     return like(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n long, f1 long, f2 long, s1 long, s2 long, signature binary")
+        run, f"doc_id long, n long, f1 long, f2 long, {', '.join(f'{p} long' for p in PARTS)}, signature binary")
 
 
 def index_keys(reps: DataFrame) -> DataFrame:
@@ -138,19 +136,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataF
     sigs = stash(signatures(narrow, size, similarity), "signatures")
     named = sigs.filter("n > 0 and doc_id is not null")
     same = ["n", "f1", "f2"]
-    reps = stash(named.groupBy(*same).agg(F.min("doc_id").alias("doc"), F.min("s1").alias("s1"), F.min("s2").alias("s2"), F.min("signature").alias("signature")), "classes")
+    reps = stash(named.groupBy(*same).agg(F.min("doc_id").alias("doc"), *[F.min(p).alias(p) for p in PARTS], F.min("signature").alias("signature")), "classes")
     copies = named.join(reps.select(*same, "doc"), same).filter("doc_id <> doc").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
     keys = index_keys(reps)
     shared = keys.groupBy("key").agg(F.count("*").alias("c"), F.min("doc").alias("pivot")).filter("c > 1").drop("c")
     buckets = stash(keys.join(shared, "key"), "buckets")
-    about = reps.select("doc", F.col("n").alias("size"), "s1", "s2")
+    about = reps.select("doc", F.col("n").alias("size"), *PARTS)
+    a_side, b_side = ([F.col(c).alias(f"{c}_{x}") for c in ["size", *PARTS]] for x in "ab")
+    bits = " + ".join(f"bit_count({p}_a ^ {p}_b)" for p in PARTS)
+    # Similarity s means a difference of (1 - s) / (1 + s) of both sizes together at most.
+    possible = F.expr(f"({bits}) * {100 + per_cent} <= (size_a + size_b) * {100 - per_cent}")
 
     def worth(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sizes and sketches allow the similarity."""
-        x, y = about.toDF("a", "n_a", "s1_a", "s2_a"), about.toDF("b", "n_b", "s1_b", "s2_b")
-        return pairs.join(x, "a").join(y, "b").filter(
-            (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * per_cent) & (F.expr("bit_count(s1_a ^ s1_b) + bit_count(s2_a ^ s2_b)") <= SKETCH)
-        ).select("a", "b")
+        """Pairs (a, b) whose sizes and parity maps allow the similarity."""
+        x, y = about.select(F.col("doc").alias("a"), *a_side), about.select(F.col("doc").alias("b"), *b_side)
+        return pairs.join(x, "a").join(y, "b").filter(possible).select("a", "b")
 
     first = buckets.filter("doc <> pivot").groupBy(F.col("doc").alias("a")).agg(F.min("pivot").alias("b"))
     links = [stash(exact_links(worth(first), narrow, size, per_cent), "links")]
@@ -174,11 +174,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataF
         if work > DENSE * texts and turn < ROUNDS:
             pairs = worth(aside.groupBy(F.col("doc").alias("a")).agg(F.min("pivot").alias("b")))
         else:
-            x = aside.select("key", F.col("doc").alias("a"), F.col("component").alias("ca"), F.col("main"), F.col("size").alias("n_a"), F.col("s1").alias("s1_a"), F.col("s2").alias("s2_a"))
-            y = open_.select("key", F.col("doc").alias("b"), F.col("component").alias("cb"), F.col("size").alias("n_b"), F.col("s1").alias("s1_b"), F.col("s2").alias("s2_b"))
-            near = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * per_cent) & (F.expr("bit_count(s1_a ^ s1_b) + bit_count(s2_a ^ s2_b)") <= SKETCH)
+            x = aside.select("key", F.col("doc").alias("a"), F.col("component").alias("ca"), "main", *a_side)
+            y = open_.select("key", F.col("doc").alias("b"), F.col("component").alias("cb"), *b_side)
             # Two texts that both stand aside meet once; one aside meets all of the main component.
-            once = (F.col("ca") != F.col("cb")) & ((F.col("a") < F.col("b")) | (F.col("cb") == F.col("main"))) & near
+            once = (F.col("ca") != F.col("cb")) & ((F.col("a") < F.col("b")) | (F.col("cb") == F.col("main"))) & possible
             pairs = x.join(y, (x["key"] == y["key"]) & once).select("a", "b").distinct()
         links.append(stash(exact_links(pairs, narrow, size, per_cent), "links"))
         drop_stash(open_)
