@@ -6,6 +6,9 @@ further ones whose distance is within ``SPREAD`` of that (boundary vectors), unl
 taken than to the vector. Queries find lists by best-first search in a neighbour graph of the centroids, held in
 memory; lists count up to a distance ratio that follows from sample queries and their exact neighbours, so
 that the target recall is met. Long lists and lists with many queries are cut into blocks.
+
+A list gives a query only what can still be among its best: a first bound comes from a bounded sample of the rows,
+a second from the query's ``LEAD`` nearest lists; both hold for all rows, as the k-th best of some of them.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from cargolith.llm.common import stash
 from cargolith.llm.vectors import grouped, k_means, sample, squared, unique_vectors
 
 TARGET, SPREAD, COPIES = 0.97, 0.1, 4
-SAMPLE, LISTS, LIST_SIZE, DEGREE, PROBES = 65_536, 8192, 200, 24, 64
+SAMPLE, LISTS, LIST_SIZE, DEGREE, PROBES, LEAD, GUIDE = 65_536, 8192, 200, 24, 64, 4, 8192
 
 
 def _lift(x: np.ndarray, top: float) -> np.ndarray:
@@ -91,20 +94,27 @@ class Centroids:
         return [c for d, c in sorted(out) if d <= ratio * best]
 
 
-def _top(q_ids, q, ids, x, k: int) -> pd.DataFrame:
-    """The k best of ``x`` for each query, itself excluded; ties to the smaller id. Scores do not depend on the block."""
+def _top(q_ids, q, ids, x, k: int, least: np.ndarray | None = None) -> pd.DataFrame:
+    """The k best of ``x`` for each query, itself and scores under ``least`` excluded; ties to the smaller id.
+
+    Scores do not depend on the block.
+    """
     parts = []
     for lo in range(0, len(q), 256):
         s = q[lo : lo + 256] @ x.T
         s[q_ids[lo : lo + 256, None] == ids] = -np.inf
         n = min(k, s.shape[1])
         edge = np.partition(s, s.shape[1] - n, 1)[:, s.shape[1] - n]
+        if least is not None:
+            edge = np.maximum(edge, least[lo : lo + 256])
         i, j = np.nonzero((s >= (edge - 1e-9 * (1 + np.abs(edge)))[:, None]) & (s > -np.inf))
         score = (q[lo + i] * x[j]).sum(1)
         order = np.lexsort((ids[j], -score, i))
         i, j, score = i[order], j[order], score[order]
         rank = np.arange(len(i)) - np.searchsorted(i, i)
         keep = rank < k
+        if least is not None:
+            keep &= score >= least[lo + i]
         parts.append(pd.DataFrame({"query_id": q_ids[lo + i[keep]], "vec_id": ids[j[keep]], "score": score[keep]}))
     return pd.concat(parts)
 
@@ -173,15 +183,37 @@ def neighbours(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
             yield pd.DataFrame({"vec_id": pdf["vec_id"], "embedding": pdf["embedding"], "lists": [own.search(v, ratio) for v in q]})
 
     asked = stash(queries.select("vec_id", "embedding").mapInPandas(search, "vec_id long, embedding array<double>, lists array<long>"), "queries")
-    one = lambda df: df.select("vec_id", "embedding", F.explode("lists").alias("list"))
+    none = F.lit(float("-inf"))
+    one = lambda df: df.select("vec_id", "embedding", F.explode("lists").alias("list"), "least")
+    base = one(stored.withColumn("least", none))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        base, probe = pdf[pdf.kind == 0], pdf[pdf.kind == 1]
-        if not len(base) or not len(probe):
+        own, probe = pdf[pdf.kind == 0], pdf[pdf.kind == 1]
+        if not len(own) or not len(probe):
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-        return _top(probe.vec_id.to_numpy(), np.stack(probe.embedding.to_numpy()), base.vec_id.to_numpy(), np.stack(base.embedding.to_numpy()), k)
+        return _top(probe.vec_id.to_numpy(), np.stack(probe.embedding.to_numpy()), own.vec_id.to_numpy(), np.stack(own.embedding.to_numpy()), k, probe.least.to_numpy())
+
+    def from_lists(probes: DataFrame) -> DataFrame:
+        return grouped(base, one(probes), "list").applyInPandas(compare, _FOUND)
+
+    def bounded(probes: DataFrame, found: DataFrame) -> DataFrame:
+        """``probes`` with the k-th best score so far as ``least``."""
+        worst = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("least"))
+        return probes.join(worst, "vec_id", "left").withColumn("least", F.coalesce("least", none))
+
+    guide = rows.orderBy(F.xxhash64("vec_id", F.lit(2)), "vec_id").limit(GUIDE).select("vec_id", "embedding").toPandas()
+    known = spark.sparkContext.broadcast((guide["vec_id"].to_numpy(), np.stack(guide["embedding"].to_numpy())))  # GUIDE rows
+
+    def against_sample(frames):
+        ids, x = known.value
+        for pdf in frames:
+            yield _top(pdf["vec_id"].to_numpy(), np.stack(pdf["embedding"].to_numpy()), ids, x, k)
 
-    found = stash(_best(grouped(one(stored), one(asked), "list").applyInPandas(compare, _FOUND), k), "found")
+    found = stash(asked.select("vec_id", "embedding").mapInPandas(against_sample, _FOUND), "found")
+    lead = from_lists(bounded(asked.withColumn("lists", F.slice("lists", 1, LEAD)), found))
+    found = stash(_best(found.union(lead), k).select("query_id", "vec_id", "score"), "found")
+    rest = from_lists(bounded(asked.filter(F.size("lists") > LEAD).withColumn("lists", F.expr(f"slice(lists, {LEAD + 1}, size(lists))")), found))
+    found = stash(_best(found.union(rest.select("query_id", "vec_id", "score")), k), "found")
     # Queries whose lists held too few: they go through all lists.
     short = queries.select("vec_id", "embedding").join(found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("c")), "vec_id", "left").filter(
         F.coalesce("c", F.lit(0)) < min(k, n - 1)).drop("c")
@@ -189,6 +221,5 @@ def neighbours(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     if short.isEmpty():
         return found
     every_list = F.sequence(F.lit(0), F.lit(len(centroids.centres) - 1)).cast("array<long>")
-    all_lists = short.withColumn("lists", every_list)
-    rest = _best(grouped(one(stored), one(all_lists), "list").applyInPandas(compare, _FOUND), k)
-    return found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").union(rest)
+    everything = _best(from_lists(short.withColumn("lists", every_list).withColumn("least", none)), k)
+    return found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(*everything.columns).union(everything)
