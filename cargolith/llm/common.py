@@ -20,6 +20,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 
     A lost executor re-reads the files; nothing depends on blocks that one machine held.
     """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -36,7 +37,13 @@ def drop_stash(df: DataFrame | None) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Bytes of rows that go to Python at once; texts can be long, and each task holds several batches.
+BATCH_BYTES = "8m"
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of ``folder``; also bounds the batches between Spark and Python for this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -70,13 +77,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            run = np.full(max(n, 1 << 20), base, np.uint64)
+            run = np.full(max(n, 1 << 19), base, np.uint64)
             run[0] = 1
             _powers[k] = np.multiply.accumulate(run)
     return _powers[0][:n], _powers[1][:n]
 
 
-def text_slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows of about ``limit`` bytes; NULL counts as empty.
 
     A longer text stands alone: texts are never cut.

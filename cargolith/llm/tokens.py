@@ -14,7 +14,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Distinct pieces kept, and bytes of a batch of texts that are encoded together.
-LIMIT = 600_000
+LIMIT = 300_000
 BATCH = 2 << 20
 #: White space by the Unicode property (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
