@@ -54,7 +54,18 @@ def _best(values: np.ndarray, capacity: int) -> np.ndarray | None:
 
 
 def plan(histogram: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[np.ndarray, int]]:
-    """(counts per length, times used) that cover ``histogram`` (index 0 is length 1) exactly."""
+    """(counts per length, times used) that cover ``histogram`` (index 0 is length 1) exactly.
+
+    Rounding can cost more sequences than best fit over all lengths needs; the plan with fewer is returned.
+    """
+    if rounds:
+        both = [_covering(histogram, capacity, r) for r in (rounds, 0)]
+        return min(both, key=lambda chosen: sum(n for _, n in chosen))
+    return _covering(histogram, capacity, 0)
+
+
+def _covering(histogram: np.ndarray, capacity: int, rounds: int) -> list[tuple[np.ndarray, int]]:
+    """The program's configurations (none for ``rounds`` 0), and best fit for what they leave."""
     left = histogram.astype(np.int64).copy()
     chosen: list[tuple[np.ndarray, int]] = []
     if left[capacity - 1]:
