@@ -56,15 +56,6 @@ def _regressors(s, d):
 
 
 register("R01_regressors", _regressors)
-def _grids(s, d):
-    """Every candidate of the grids, with the number of training rows each would see."""
-    rows = shipments(s, d, "ShipmentID").agg(F.count(lit(1)).alias("training_rows"))
-    return m.grid_table(s, {**{f"regression/{k}": v for k, v in m.REGRESSION_GRIDS.items()}, **{f"classification/{k}": v for k, v in m.CLASSIFICATION_GRIDS.items()}}).crossJoin(F.broadcast(rows))
-
-
-register("R02_parameter_grids", _grids)
-
-
 def _tuned(s, d):
     data, _ = regression_data(s, d)
     train, _ = m.train_test(data, "ShipmentID")
@@ -79,7 +70,11 @@ def _tuned(s, d):
 register("R03_tuning", _tuned)
 register("R04_hash_split", lambda s, d: m.train_test(shipments(s, d, "ShipmentID", "ShipmentValue"), "ShipmentID")[1],
     sql(SHIP, f"""SELECT ShipmentID, ShipmentValue FROM shipments
-WHERE ((((ShipmentID % {m.MODULUS}) + {m.SEED}) * {m.MULTIPLIER}) % {m.MODULUS} * {m.MULTIPLIER}) % {m.MODULUS} / {m.MODULUS} < 0.2"""))
+WHERE ('0x' || left(md5('{m.SEED}:' || ShipmentID), 8))::BIGINT / 4294967296.0 < 0.2"""))
+register("R04b_fold_sizes", lambda s, d: shipments(s, d, "ShipmentID").groupBy(
+    m.fold_of("ShipmentID", 5).alias("fold"), (m.split_share(F.col("ShipmentID")) < 0.2).alias("test")).agg(F.count("*").alias("n")),
+    sql(SHIP, f"""SELECT floor(('0x' || left(md5('{m.SEED + 1}:' || ShipmentID), 8))::BIGINT / 4294967296.0 * 5)::INT AS fold,
+  ('0x' || left(md5('{m.SEED}:' || ShipmentID), 8))::BIGINT / 4294967296.0 < 0.2 AS test, count(*) AS n FROM shipments GROUP BY ALL"""))
 
 
 def _time_folds(s, d):

@@ -48,7 +48,7 @@ def row_numbers(df: DataFrame, order: Sequence[str | Column], name: str = "RowNu
 
 
 def running_sums(
-    df: DataFrame, order: Sequence[str | Column], weights: Sequence[str], keys: Sequence[str] = (), few_keys: bool = True
+    df: DataFrame, order: Sequence[str | Column], weights: Sequence[str], keys: Sequence[str] = (), few_keys: bool = False
 ) -> DataFrame:
     """Adds ``cum_<w>`` (inclusive running sum) and ``total_<w>`` per weight, per key.
 
@@ -149,7 +149,7 @@ def _near_targets(
 
 
 def quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], keys: Sequence[str] = (), few_keys: bool = True
+    df: DataFrame, value: str, probs: dict[str, float], keys: Sequence[str] = (), few_keys: bool = False
 ) -> DataFrame:
     """Exact interpolated quantiles per key, one column per entry of ``probs``. Neither a
     hot key nor a wide value range has to fit in one task."""
@@ -173,7 +173,7 @@ def quantiles(
 
 
 def quantile_rows(
-    df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (), few_keys: bool = True
+    df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (), few_keys: bool = False
 ) -> DataFrame:
     """As :func:`quantiles`, in rows (keys, probability, quantile): the choice for many
     probabilities. A distinct value meets only the probabilities whose position it covers."""

@@ -43,7 +43,7 @@ def merge_versions(
     inserted versions) is unfolded from an array, so no side is scanned twice.
     """
     columns = [key, *attributes, *VERSION_COLUMNS]
-    old = history.filter("IsCurrent").select(*[F.col(c).alias(f"o_{c}") for c in columns])
+    old = history.filter("coalesce(IsCurrent, false)").select(*[F.col(c).alias(f"o_{c}") for c in columns])
     new = incoming.select(*[F.col(c).alias(f"n_{c}") for c in [key, *attributes, "EffectiveDate"]])
     pair = old.join(new, F.col(f"o_{key}") == F.col(f"n_{key}"), "full_outer")
     differs = F.lit(False)
@@ -64,7 +64,7 @@ def merge_versions(
     )
     versions = F.array_compact(F.array(F.when(had, kept), F.when(opens, added)))
     live = pair.select(F.inline(versions)).select(*columns)
-    closed = history.filter(~F.col("IsCurrent")).select(*columns)
+    closed = history.filter("not coalesce(IsCurrent, false)").select(*columns)
     return closed.unionByName(live)
 
 

@@ -24,7 +24,7 @@ def regression_metrics(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.count(lit(1)).alias("n"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg("__abs").alias("mae"),
-        (1 - F.try_divide(F.sum(e * e), F.var_pop("y") * F.count("y"))).alias("r2"),
+        (1 - F.try_divide(F.sum(e * e), F.var_pop(when(e.isNotNull(), col("y"))) * F.count(e))).alias("r2"),
         (F.avg(F.abs(e / (col("y") + 1e-8))) * 100).alias("mape"),
         F.max("__abs").alias("max_error"),
         F.avg(e).alias("residual_mean"),
@@ -84,8 +84,8 @@ def classification_metrics(df: DataFrame) -> DataFrame:
 
 
 def score_steps(df: DataFrame, score: str = "score") -> DataFrame:
-    """Distinct scores, best first, with running counts of positives and negatives."""
-    counts = df.groupBy(score).agg(
+    """Distinct scores, best first, with running counts of positives and negatives; rows without a label are left out."""
+    counts = df.filter(col("y").isNotNull()).groupBy(score).agg(
         F.sum(when(col("y") == 1, 1).otherwise(0)).alias("pos"), F.sum(when(col("y") == 1, 0).otherwise(1)).alias("neg")
     )
     return running_sums(counts, [col(score).desc()], ["pos", "neg"])

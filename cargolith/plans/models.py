@@ -25,15 +25,13 @@ from cargolith.session import tiny
 
 col, lit, when = F.col, F.lit, F.when
 SEED = 42
-# Prime modulus and multiplier of the splitting hash.
-MODULUS, MULTIPLIER = 2147483647, 48271
 
 
 def split_share(key: Column, seed: int = SEED) -> Column:
-    """Number in [0, 1) that depends on the row's id and the seed alone, so that a split
-    is the same whatever the partitioning."""
-    mixed = F.pmod((F.pmod(key, lit(MODULUS)) + seed) * MULTIPLIER, lit(MODULUS))
-    return F.pmod(mixed * MULTIPLIER, lit(MODULUS)) / lit(float(MODULUS))
+    """Number in [0, 1) from a digest of the seed and the row's id: the same whatever the partitioning, and
+    unrelated for different seeds, so that folds do not follow the train/test split."""
+    digest = F.md5(F.concat_ws(":", lit(str(seed)), key.cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / lit(float(2**32))
 
 
 def train_test(df: DataFrame, key: str, test: float = 0.2, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -109,10 +107,6 @@ def param_grid(estimator, ranges: dict[str, list], sample: int | None = None, se
     return Random(seed).sample(grid, sample) if sample is not None and sample < len(grid) else grid
 
 
-def grid_table(spark: SparkSession, grids: dict[str, dict[str, list]]) -> DataFrame:
-    rows = [(m, json.dumps(dict(zip(r, values)))) for m, r in grids.items() for values in product(*r.values())]
-    return spark.createDataFrame(rows, "model string, params string")
-
 
 def evaluator(task: str):
     return RegressionEvaluator(metricName="rmse") if task == "regression" else MulticlassClassificationEvaluator(metricName="accuracy")

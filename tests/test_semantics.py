@@ -150,3 +150,11 @@ def test_constant_columns_do_not_divide_by_zero(spark):
     assert ev.roc_auc(flat.select("y", col("x").alias("score"))).first().roc_auc is None
     assert drift.verdicts(flat, flat, ["c", "x"]).filter("drift_detected").count() == 0
     assert f.scaled(flat, ["c"], "minmax").agg(F.max("c_scaled")).first()[0] == 0.0
+
+
+def test_folds_are_even_and_independent_of_the_split(spark):
+    from cargolith.plans import models as m
+
+    rows = spark.range(20000).select(m.fold_of("id", 5).alias("fold"), (m.split_share(F.col("id")) < 0.2).alias("test"))
+    for r in rows.groupBy("fold").agg(F.count("*").alias("n"), F.avg(F.col("test").cast("int")).alias("share")).collect():
+        assert 0.18 < r.n / 20000 < 0.22 and 0.17 < r.share < 0.23
