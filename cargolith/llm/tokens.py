@@ -1,12 +1,14 @@
 """Whole texts to token ids through a table of distinct pieces (shared by operators 2, 6 and 10).
 
 Texts are cut at white space, where every tokenizer used here starts a new word; each distinct piece is
-encoded once and kept while the Python worker lives. The table is emptied at ``LIMIT`` pieces, so that memory
+encoded once and kept while the Python worker lives. The table is emptied at a number of pieces, so that memory
 is bounded whatever the vocabulary of the corpus; results do not depend on that.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import re
 from array import array
 from collections.abc import Callable
@@ -15,12 +17,19 @@ import numpy as np
 
 #: Distinct pieces kept, and bytes of a batch of texts that are encoded together.
 LIMIT = 300_000
+#: The same for words and for their runs where there are both.
+WORDS = 600_000
 BATCH = 2 << 20
 #: White space by the Unicode property (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _UNUSUAL = re.compile(f"[\x00\x1c-\x1f{SPACE.replace(' ', '').replace(chr(10), '')}]")
 _PIECE = re.compile(f"[{SPACE}]+(?![^{SPACE}])|[{SPACE}]?[^{SPACE}]+")
 _WORD = re.compile(f"[^{SPACE}]+")
+#: The rule of a tokenizer that lower-cases and cuts words into runs of letters, single digits and other runs (fixed value).
+RUN_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters and digits up to U+00FF (fixed values); no normal form changes these characters.
+_LETTER, _DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾"
+_RUN = re.compile(f"[{_LETTER}]+|[{_DIGIT}]|[^{_LETTER}{_DIGIT}]+")
 
 
 def spaced_pieces(text: str) -> list[str]:
@@ -54,13 +63,18 @@ def plain_words(text: str) -> list[str]:
     return text.split()
 
 
+def lower_runs(word: str) -> list[str]:
+    """The runs that RUN_RULE cuts a word of characters up to U+00FF without apostrophe into, lower-cased."""
+    return _RUN.findall(word.lower())
+
+
 class PieceTable(dict):
     """Numbers pieces in order of appearance, and holds each one's ids after ``settle``."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = LIMIT):
         """``encode`` gives all ids of a list of pieces in one run, and how many each has."""
         super().__init__()
-        self.encode = encode
+        self.encode, self.limit = encode, limit
         self.new: list[str] = []
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 16, np.int64)
@@ -86,7 +100,7 @@ class PieceTable(dict):
 
     def batch(self, texts: list[str], pieces: Callable[[str], list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one run, and where each text's ids start (one more entry than texts)."""
-        if len(self) > LIMIT:
+        if len(self) > self.limit:
             self.clear()
         at, counts = array("i"), []
         number = self.__getitem__
@@ -119,16 +133,45 @@ def text_batches(texts: list[str | None], limit: int = BATCH):
 _TABLES: dict[tuple, PieceTable] = {}
 
 
+def _cuts_runs(tokenizer) -> bool:
+    """Whether the tokenizer works by RUN_RULE on lower-cased text and marks the last token of each run."""
+    parts = json.loads(tokenizer.to_str())
+    steps = [x["type"] for x in (parts["normalizer"] or {}).get("normalizers", [])]
+    rules = [x.get("pattern", {}).get("Regex") for x in (parts["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    return steps == ["NFC", "Replace", "Lowercase"] and rules == [RUN_RULE, None] and bool(parts["model"].get("end_of_word_suffix"))
+
+
+def _run_table(tokenizer) -> PieceTable:
+    """Ids of lower-cased runs. Many go through the library at a time, a blank between them; the suffix of a
+    run's last token tells them apart."""
+    suffix = tokenizer.model.end_of_word_suffix
+    closes = np.zeros(tokenizer.get_vocab_size(), bool)
+    closes[[number for token, number in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+
+    def encode(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        runs, counts = [], []
+        for lo in range(0, len(keys), 1000):
+            part = keys[lo : lo + 1000]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            last = np.flatnonzero(closes[ids])
+            if len(last) != len(part):
+                raise RuntimeError("last tokens and runs do not add up")
+            runs.append(ids)
+            counts.append(np.diff(last, prepend=-1))
+        return np.concatenate(runs), np.concatenate(counts)
+
+    return PieceTable(encode, WORDS)
+
+
 def library_table(path: str, spaced: bool) -> PieceTable:
     """The worker's table for a file of the tokenizers library.
 
     Pieces go through the library many at a time, joined by a mark that has a token of its own (line feed, or
-    NUL where white space is dropped); pieces in which the mark occurs go alone.
+    NUL where white space is dropped); pieces in which the mark occurs go alone. Where the tokenizer cuts words
+    into runs, a second table holds the runs of plain words, which are far fewer than the words.
     """
     key = (path, spaced)
     if key not in _TABLES:
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -138,13 +181,21 @@ def library_table(path: str, spaced: bool) -> PieceTable:
         own = tokenizer.encode(mark, add_special_tokens=False).ids
         if len(own) != 1:
             raise ValueError(f"{path}: the mark between pieces is not one token")
+        parts_of_words = _run_table(tokenizer) if not spaced and _cuts_runs(tokenizer) else None
 
         def encode(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            texts = [piece_text(k) for k in keys] if spaced else keys
-            joinable = [i for i, t in enumerate(texts) if mark not in t and (not spaced or not t[-1:].isspace())]
-            together = set(joinable)
-            alone = [i for i in range(len(texts)) if i not in together]
-            runs, counts = [], []
+            runs, counts, order = [], [], []
+            rest = range(len(keys))
+            if parts_of_words is not None:
+                plain = [i for i, k in enumerate(keys) if "'" not in k and (k.isascii() or max(k) <= "\xff")]
+                flat, starts = parts_of_words.batch([keys[i] for i in plain], lower_runs)
+                runs.append(flat)
+                counts.append(np.diff(starts))
+                order += plain
+                done = set(plain)
+                rest = [i for i in rest if i not in done]
+            texts = {i: piece_text(keys[i]) if spaced else keys[i] for i in rest}
+            joinable = [i for i, t in texts.items() if mark not in t and (not spaced or not t[-1:].isspace())]
             for lo in range(0, len(joinable), 1000):
                 part = joinable[lo : lo + 1000]
                 joined = mark.join([texts[i] for i in part]) if spaced else f" {mark} ".join([texts[i] for i in part])
@@ -154,17 +205,18 @@ def library_table(path: str, spaced: bool) -> PieceTable:
                     raise RuntimeError("marks between pieces do not add up")
                 counts.append(np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1)
                 runs.append(np.delete(ids, marks))
+            together = set(joinable)
+            alone = [i for i in texts if i not in together]
             for i in alone:
                 runs.append(np.array(tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32))
                 counts.append(np.array([len(runs[-1])]))
+            order += joinable + alone
             ids, counts = np.concatenate(runs), np.concatenate(counts)
-            if not alone:
-                return ids, counts
-            place = np.argsort(np.array(joinable + alone))
+            place = np.argsort(np.array(order))
             starts = (np.cumsum(counts) - counts)[place]
             counts = counts[place]
             at = np.cumsum(counts) - counts
             return ids[np.arange(counts.sum()) + np.repeat(starts - at, counts)], counts
 
-        _TABLES[key] = PieceTable(encode)
+        _TABLES[key] = PieceTable(encode, WORDS if parts_of_words is not None else LIMIT)
     return _TABLES[key]
