@@ -142,8 +142,9 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2) -> DataF
     return manifest.withColumn("before", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
-def read_ids(manifest: DataFrame, wanted: Iterable[int] | None = None) -> DataFrame:
-    """doc_id, start, n_tokens, ids (bytes) of all documents, or of a small set of doc_ids only."""
+def read_ids(manifest: DataFrame, wanted: Iterable[int] | None = None, digest: bool = False) -> DataFrame:
+    """doc_id, start, n_tokens, ids (bytes; with ``digest`` their checksum ids_crc32) of all documents, or of a small set of doc_ids only."""
+    last, kind = ("ids_crc32", pa.int64()) if digest else ("ids", pa.binary())
     chosen = None if wanted is None else np.array(sorted(wanted), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,21 +158,16 @@ def read_ids(manifest: DataFrame, wanted: Iterable[int] | None = None) -> DataFr
                     for lo in range(0, len(rows), 200):
                         part = rows[lo : lo + 200]
                         ids = pa.array(reader.ids[part], mask=reader.ids[part] == NO_ID)
-                        yield pa.RecordBatch.from_arrays([ids, pa.array(starts[part]), pa.array(reader.sizes[part].astype(np.int64)), pa.array([reader.frame(int(k)) for k in part], pa.binary())],
-                                                         ["doc_id", "start", "n_tokens", "ids"])
+                        frames = (reader.frame(int(k)) for k in part)
+                        values = pa.array([zlib.crc32(x) for x in frames] if digest else list(frames), kind)
+                        yield pa.RecordBatch.from_arrays([ids, pa.array(starts[part]), pa.array(reader.sizes[part].astype(np.int64)), values],
+                                                         ["doc_id", "start", "n_tokens", last])
 
     # One row per file: each goes to a task of its own.
     count = max(1, manifest.count())
-    return manifest.select("file", "before").repartition(count, "file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return manifest.select("file", "before").repartition(count, "file").mapInArrow(run, f"doc_id long, start long, n_tokens long, {last} {'long' if digest else 'binary'}")
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each row, from the files written."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = pa.array([zlib.crc32(x) for x in batch.column("ids").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), sums], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    manifest = write_ids(docs, path, scratch_path(docs.sparkSession, "ids"), end_id)
-    return read_ids(manifest).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_ids(write_ids(docs, path, scratch_path(docs.sparkSession, "ids"), end_id), digest=True)
