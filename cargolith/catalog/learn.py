@@ -29,7 +29,7 @@ PAYMENT = ["TotalAmount", "TaxAmount", "Month", "Quarter", "DayOfWeek", "Year",
 
 
 def shipment_frame(s, d):
-    return f.shipment_features(shipments(s, d))
+    return f.shipment_features(shipments(s, d), labels=False)
 
 
 def invoice_frame(s, d):

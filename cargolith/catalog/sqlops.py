@@ -156,7 +156,8 @@ ship_tagged AS (
       WHEN EquipmentKey IS NULL THEN 'unmatched_equipment' WHEN FreightTypeKey IS NULL THEN 'unmatched_freight_type'
       WHEN o.LocationKey IS NULL OR t.LocationKey IS NULL THEN 'unmatched_location' END AS RejectReason
   FROM ship_rows r LEFT JOIN calendar k ON CAST(strftime(ShipmentDate, '%Y%m%d') AS INTEGER) = k.DateKey
-    LEFT JOIN dim_customer c ON trim(lower(r.CustomerName)) = trim(lower(c.CustomerName))
+    LEFT JOIN (SELECT trim(lower(CustomerName)) AS name, min(CustomerKey) AS CustomerKey FROM dim_customer GROUP BY 1) c
+      ON trim(lower(r.CustomerName)) = c.name AND c.name <> 'unknown'
     LEFT JOIN dim_equipment e ON r.EquipmentID = e.EquipmentID LEFT JOIN dim_freight f ON r.FreightTypeID = f.FreightTypeID
     LEFT JOIN dim_location o ON r.OriginLocationID = o.LocationID LEFT JOIN dim_location t ON r.DestinationLocationID = t.LocationID)"""
 FACT_SHIPMENTS = f"""{SHIP_TAGGED},
@@ -180,8 +181,10 @@ invoice_rows AS (
   FROM sales JOIN customer ON CustomerKey - 1 = c_custkey WHERE InvoiceID % 500 <> 499)"""
 INV_TAGGED = f"""{CUSTOMERS}, {SUPPLIERS}, {TERMS}, {FACT_CALENDAR}, {INVOICE_ROWS},
 parties AS (
-  SELECT 'Sales' AS InvoiceType, {fold('CustomerName')} AS PartyName, CustomerKey AS PartyKey FROM dim_customer
-  UNION ALL SELECT 'Purchase', {fold('SupplierName')}, SupplierKey FROM dim_supplier),
+  SELECT InvoiceType, PartyName, min(PartyKey) AS PartyKey FROM (
+    SELECT 'Sales' AS InvoiceType, {fold('CustomerName')} AS PartyName, CustomerKey AS PartyKey FROM dim_customer
+    UNION ALL SELECT 'Purchase', {fold('SupplierName')}, SupplierKey FROM dim_supplier)
+  WHERE PartyName <> 'unknown' GROUP BY 1, 2),
 named AS (SELECT *, {fold("CASE InvoiceType WHEN 'Sales' THEN CustomerName ELSE SupplierName END")} AS PartyName,
   TRY_CAST(PaymentTermID AS BIGINT) AS TermID FROM invoice_rows),
 inv_tagged AS (

@@ -103,9 +103,10 @@ register("J03_invoice_calendar", lambda s, d: b.invoice_rows(s, d).join(
     sql(f"{o.INVOICE_ROWS}, {o.FACT_CALENDAR}", "SELECT InvoiceID, InvoiceType, DateKey FROM invoice_rows LEFT JOIN calendar ON InvoiceDate = Date"))
 register("J04_customer_by_name", lambda s, d: keyed.lookup(
         b.ship_rows(s, d).select("ShipmentID", facts.plain_name(col("CustomerName")).alias("Name")),
-        b.dim_customer(s, d).select(facts.plain_name(col("CustomerName")).alias("Name"), "CustomerKey"), "Name"),
+        facts.one_key_per_name(b.dim_customer(s, d).select(facts.plain_name(col("CustomerName")).alias("Name"), "CustomerKey"), ["Name"], "CustomerKey"), "Name"),
     sql(f"{o.CUSTOMERS}, {o.SHIP_ROWS}", """SELECT ShipmentID, trim(lower(r.CustomerName)) AS Name, CustomerKey
-FROM ship_rows r LEFT JOIN dim_customer c ON trim(lower(r.CustomerName)) = trim(lower(c.CustomerName))"""))
+FROM ship_rows r LEFT JOIN (SELECT trim(lower(CustomerName)) AS name, min(CustomerKey) AS CustomerKey FROM dim_customer GROUP BY 1) c
+  ON trim(lower(r.CustomerName)) = c.name AND c.name <> 'unknown'"""))
 register("J05_party_by_folded_name", lambda s, d: b.inv_tagged(s, d).select("InvoiceID", "InvoiceType", "PartyName", "PartyKey"),
     sql(o.INV_TAGGED, "SELECT InvoiceID, InvoiceType, PartyName, PartyKey FROM inv_tagged"))
 register("J06_term_by_id", lambda s, d: b.inv_tagged(s, d).select("InvoiceID", "InvoiceType", "PaymentTermID", "PaymentTermKey"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,35 +29,35 @@ def title_case(c: Column) -> Column:
     return F.array_join(shaped, "")
 
 
-def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
-    """Compatibility decompositions with an ASCII remainder, found by rule.
+@cache
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
+    """Compatibility decompositions (NFKD) of all code points with an ASCII remainder, found by rule.
 
-    One-letter remainders go to a ``translate`` table; longer ones (ligatures,
-    ellipsis, fractions) in the Latin and punctuation blocks become replacements.
+    One-letter remainders go to a ``translate`` table; longer ones (ligatures, fractions,
+    squared units) to a map.
     """
-    source, target, longer = [], [], []
-    for point in range(0x80, 0x10000):
-        if 0xD800 <= point <= 0xDFFF:
-            continue
+    source, target, longer = [], [], {}
+    for point in range(0x80, sys.maxunicode + 1):
         char = chr(point)
+        if not unicodedata.decomposition(char):
+            continue
         ascii_part = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode()
         if len(ascii_part) == 1:
             source.append(char)
             target.append(ascii_part)
-        elif len(ascii_part) > 1 and (point < 0x250 or 0x2000 <= point < 0x2190 or 0xFB00 <= point < 0xFB07):
-            longer.append((char, ascii_part))
+        elif ascii_part:
+            longer[char] = ascii_part
     return "".join(source), "".join(target), longer
 
 
-_SOURCE, _TARGET, _LONGER = _fold_tables()
-
-
 def ascii_fold(c: Column) -> Column:
     """Accents removed and other non-ASCII characters dropped, JVM-side."""
-    folded = c
-    for char, text in _LONGER:
-        folded = F.replace(folded, F.lit(char), F.lit(text))
-    folded = F.regexp_replace(F.translate(folded, _SOURCE, _TARGET), r"[^\x00-\x7F]", "")
+    source, target, longer = _fold_tables()
+    # One literal, folded to a map; only texts that hold such a character are taken apart.
+    table = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in longer.items())), F.lit("\x01"), F.lit("\x02"))
+    spelled = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    spelled = F.when(c.rlike(f"[{''.join(longer)}]"), spelled).otherwise(c)
+    folded = F.regexp_replace(F.translate(spelled, source, target), r"[^\x00-\x7F]", "")
     return F.when(c.rlike(r"[^\x00-\x7F]"), folded).otherwise(c)
 
 

@@ -168,7 +168,9 @@ def quantiles(
     for name, p in probs.items():
         place = (F.col("__n") - 1) * p
         low, high = F.col(f"{name}__lo"), F.col(f"{name}__hi")
-        out.append((low + (high - low) * (place - F.floor(place))).alias(name))
+        value_at = F.when(low.isNotNull() & high.isNotNull(), low + (high - low) * (place - F.floor(place)))
+        missed = F.raise_error(F.lit(f"{value}: a position lies outside its bracket")).cast("double")
+        out.append(F.when(F.col("__n").isNull() | value_at.isNotNull(), value_at).otherwise(missed).alias(name))
     return grouped.select(*keys, *out)
 
 

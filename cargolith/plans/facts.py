@@ -25,6 +25,12 @@ def plain_name(c: Column) -> Column:
     return F.trim(F.lower(c))
 
 
+def one_key_per_name(parties: DataFrame, name: Sequence[str], key: str) -> DataFrame:
+    """The smallest key of each name, so that a look-up never multiplies rows. The last column of ``name``
+    is the name itself; "unknown" stands for a missing name and matches nothing."""
+    return parties.filter(col(name[-1]) != "unknown").groupBy(*name).agg(F.min(key).alias(key))
+
+
 def shipment_rows(lines: DataFrame, dossiers: DataFrame, as_of: Column, extra: Sequence[str] = ()) -> DataFrame:
     """Source query: shipment lines with their dossier (left join), delivered flag, duration."""
     d = dossiers.withColumnRenamed("ID", "ID_Dossier")
@@ -54,8 +60,8 @@ def tag_shipments(
 ) -> DataFrame:
     """Resolves all keys by left joins and names the first failing rule in ``RejectReason``."""
     days = tiny(calendar.select("DateKey", lit(True).alias("__day")))
-    names = customers.filter(col("CustomerName").isNotNull()).select(
-        plain_name(col("CustomerName")).alias("CustomerName"), "CustomerKey"
+    names = one_key_per_name(
+        customers.select(plain_name(col("CustomerName")).alias("CustomerName"), "CustomerKey"), ["CustomerName"], "CustomerKey"
     )
 
     def place(role: str) -> DataFrame:
@@ -138,7 +144,8 @@ def tag_invoices(
         suppliers.select(
             lit("Purchase").alias("InvoiceType"), fold_name(col("SupplierName")).alias("PartyName"), col("SupplierKey").alias("PartyKey")
         )
-    ).filter(col("PartyName").isNotNull())
+    )
+    parties = one_key_per_name(parties, ["InvoiceType", "PartyName"], "PartyKey")
     term_keys = terms.select(
         col("PaymentTermID").try_cast("bigint").alias("PaymentTermID"), "PaymentTermKey", "PaymentDays"
     ).filter(col("PaymentTermID").isNotNull())

@@ -177,7 +177,9 @@ def _calendar_columns(date: Column) -> dict[str, Column]:
     }
 
 
-def shipment_features(df: DataFrame) -> DataFrame:
+def shipment_features(df: DataFrame, labels: bool = True) -> DataFrame:
+    """``labels`` adds the size and value categories, which need the extremes of the whole table: a second
+    pass over the source that training and scoring do without."""
     d = col("ShipmentDate")
     week = dt.cyclic(dt.weekday0(d), 7)
     out = unit_ratios(df).withColumns(
@@ -195,7 +197,7 @@ def shipment_features(df: DataFrame) -> DataFrame:
         out = out.withColumns({"PlannedDuration": planned, "ActualDuration": actual}).withColumn(
             "DeliveryVariance", col("ActualDuration") - col("PlannedDuration")
         ).withColumn("OnTimeDeliveryFlag", m.on_time_flag(col("DeliveryVariance")))
-    return size_labels(out)
+    return size_labels(out) if labels else out
 
 
 def invoice_features(df: DataFrame, as_of: Column, safe: bool = False) -> DataFrame:

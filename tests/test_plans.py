@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cargolith.catalog import binding as b
 from cargolith.functions import statistics as st
 from cargolith.operators import keyed
-from cargolith.plans import facts, kpis, models, quality
+from cargolith.plans import facts, features, kpis, models, quality
 from cargolith.plans import timeseries as ts
 from cargolith.sources import operational as op
 from cargolith.sources.marts import invoices, shipments
@@ -35,6 +35,20 @@ def test_shipment_rows_are_kept_or_rejected(spark):
     assert fact.filter(" OR ".join(f"{c} IS NULL" for c in ("CustomerKey", "EquipmentKey", "TotalWeight", "TotalPackages"))).count() == 0
 
 
+def test_a_name_of_many_parties_multiplies_nothing(spark):
+    parties = spark.range(1000).select(F.when(col("id") % 2 == 0, "Twin").otherwise("Unknown").alias("Name"), col("id").alias("Key"))
+    names = facts.one_key_per_name(parties.withColumn("Name", facts.plain_name(col("Name"))), ["Name"], "Key")
+    rows = spark.range(1000).select("id", F.when(col("id") < 400, "twin").otherwise("unknown").alias("Name")).join(names, "Name", "left")
+    assert rows.count() == 1000
+    assert rows.filter("Key = 0").count() == 400 and rows.filter("Key IS NULL").count() == 600
+
+
+def test_training_features_read_the_source_once(spark):
+    wide, narrow = (plan(features.shipment_features(shipments(spark, FOLDER), labels=x)) for x in (True, False))
+    scans = [text.count("Scan parquet  (") or text.count("Scan parquet") for text in (wide, narrow)]
+    assert scans[1] < scans[0]
+
+
 def test_seasons_add_up(spark):
     s, i = shipments(spark, FOLDER, "ShipmentDate"), invoices(spark, FOLDER)
     total = kpis.counts_by_season(s, "ShipmentDate", "n").agg(F.sum("n")).first()[0]

@@ -158,3 +158,8 @@ def test_folds_are_even_and_independent_of_the_split(spark):
     rows = spark.range(20000).select(m.fold_of("id", 5).alias("fold"), (m.split_share(F.col("id")) < 0.2).alias("test"))
     for r in rows.groupBy("fold").agg(F.count("*").alias("n"), F.avg(F.col("test").cast("int")).alias("share")).collect():
         assert 0.18 < r.n / 20000 < 0.22 and 0.17 < r.share < 0.23
+
+
+@pytest.mark.parametrize(("given", "folded"), [("\u338f", "kg"), ("\u2474x", "1 x"), ("\U0001d400bc", "abc"), ("\ufb01n Société", "fin societe"), ("\u4e2d", "")])
+def test_every_decomposition_is_folded(spark, given, folded):
+    assert values(spark, "s string", [(given,)], text.fold_name(col("s"))) == [folded]
