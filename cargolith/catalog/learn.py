@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from cargolith.catalog import binding as b
 from cargolith.catalog.registry import register, tidy
 from cargolith.catalog.scalars import band
-from cargolith.catalog.sqlbase import INV, SHIP, VARIANCE, sql
+from cargolith.catalog.sqlbase import INV, RFM, SHIP, VARIANCE, sql
 from cargolith.plans import customers as cust
 from cargolith.plans import evaluation as ev
 from cargolith.plans import features as f
@@ -21,6 +22,8 @@ from cargolith.sources.marts import invoices, shipments
 from cargolith.sources.tables import parquet
 
 col, lit = F.col, F.lit
+# Rows of the test part with a known variance.
+TESTED = f"('0x' || left(md5('{m.SEED}:' || ShipmentID), 8))::BIGINT / 4294967296.0 < 0.2 AND {VARIANCE} IS NOT NULL"
 
 # Neither the targets nor anything derived from the actual arrival is a feature.
 DELIVERY = ["TotalWeight", "TotalVolume", "TotalPackages", "ShipmentValue", "Month", "Quarter", "DayOfWeek", "Year", "OriginLocationKey",
@@ -45,6 +48,11 @@ def class_data(s, d):
     return m.design(shipment_frame(s, d), DELIVERY, "OnTimeDeliveryFlag", ["ShipmentID"])
 
 
+def payment_data(frame):
+    """Payment status 1 to 4 of sales and purchases as classes 0 to 3."""
+    return m.design(frame, PAYMENT, "PaymentStatus", ["InvoiceID"]).withColumn("label", col("label") - 1)
+
+
 def subset(factories, *names):
     return {n: factories[n] for n in names}
 
@@ -81,10 +89,10 @@ def _time_folds(s, d):
     base = m.time_folds(shipment_frame(s, d), "ShipmentDate", 5)
     data = m.design(base, DELIVERY, "DeliveryVariance", ["fold"]).persist()
     try:
-        scores = m.expanding_scores(data, m.REGRESSORS["ridge"](), "regression", 5)
+        rows = [(n, i + 1, float(x)) for n, make in m.REGRESSORS.items() for i, x in enumerate(m.expanding_scores(data, make(), "regression", 5))]
     finally:
         data.unpersist()
-    return tidy(s.createDataFrame([(i + 1, float(x)) for i, x in enumerate(scores)], "fold int, rmse double"))
+    return tidy(s.createDataFrame(rows, "model string, fold int, rmse double"))
 
 
 register("R05_time_ordered_folds", _time_folds)
@@ -107,10 +115,10 @@ register("R06_classifiers", _classifiers)
 
 
 def _payment_models(s, d):
-    data = m.design(invoice_frame(s, d).filter("InvoiceType = 'Sales'"), PAYMENT, "PaymentStatus", ["InvoiceID"]).withColumn("label", col("label") - 1)
-    train, test = m.train_test(data, "InvoiceID")
-    fitted = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic", "linear_svm"), classes=3)
-    return tidy(ev.class_report(m.predictions({"linear_svm": fitted["linear_svm"]}, test, "InvoiceID")))
+    train, test = m.train_test(payment_data(invoice_frame(s, d)), "InvoiceID")
+    fitted = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic", "linear_svm"), classes=4)
+    parts = [ev.class_report(m.predictions({n: x}, test, "InvoiceID")).withColumn("model", lit(n)) for n, x in fitted.items()]
+    return tidy(parts[0].unionByName(parts[1]))
 
 
 register("R06b_multiclass", _payment_models)
@@ -119,27 +127,33 @@ register("R06b_multiclass", _payment_models)
 def _importance(s, d):
     data, feats = regression_data(s, d)
     train, _ = m.train_test(data, "ShipmentID")
-    return tidy(m.importance_table(s, m.fit_all(train, subset(m.REGRESSORS, "random_forest", "ridge")), feats))
+    return tidy(m.importance_table(s, m.fit_all(train, m.REGRESSORS), feats))
 
 
 register("R07_feature_importance", _importance)
 
 
 def _proba(s, d):
-    from pyspark.ml.functions import vector_to_array
-
     train, test = m.train_test(class_data(s, d), "ShipmentID")
     model = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic"))["logistic"]
-    return tidy(model.transform(test).select("ShipmentID", "label", vector_to_array("probability")[1].alias("probability")))
+    return model.transform(test).select("ShipmentID", "label", "prediction", vector_to_array("probability").alias("p"))
 
 
-register("R08_probability", _proba)
+def _proba_check(s, d):
+    """Test rows, and those whose probabilities are not in [0, 1], do not sum to 1, or disagree with the class."""
+    p = col("p")
+    sound = (F.array_min(p) >= 0) & (F.abs(p[0] + p[1] - 1) < 1e-9) & (p[col("prediction").cast("int")] == F.array_max(p))
+    return _proba(s, d).agg(F.count(lit(1)).alias("n"), F.count_if(~F.coalesce(sound, lit(False))).alias("unsound"))
+
+
+register("R08_probability", lambda s, d: tidy(_proba(s, d).select("ShipmentID", "label", col("p")[1].alias("probability"))))
+register("R08b_probability_check", _proba_check, sql(SHIP, f"SELECT count(*) AS n, 0::BIGINT AS unsound FROM shipments WHERE {TESTED}"))
 
 
 def _voting(s, d):
     data, _ = regression_data(s, d)
     train, test = m.train_test(data, "ShipmentID")
-    fitted = m.fit_all(train, subset(m.REGRESSORS, "ridge", "lasso", "gradient_boost"))
+    fitted = m.fit_all(train, m.REGRESSORS)
     weights = m.inverse_error_weights(m.scored_columns(fitted, train), list(fitted))
     scored = m.scored_columns(fitted, test)
     return tidy(ev.regression_metrics(scored.select(col("label").alias("y"), m.weighted_mean(weights).alias("p"))))
@@ -150,7 +164,7 @@ register("R09_weighted_voting", _voting)
 
 def _soft(s, d):
     train, test = m.train_test(class_data(s, d), "ShipmentID")
-    fitted = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic", "random_forest"))
+    fitted = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic", "random_forest", "gradient_boost"))
     weights = m.accuracy_weights(m.scored_columns(fitted, train), list(fitted))
     soft = m.soft_vote(fitted, test, weights).select("ShipmentID", col("label").alias("y"), col("prediction").alias("p"))
     return tidy(ev.classification_metrics(soft))
@@ -161,7 +175,7 @@ register("R09b_soft_voting", _soft)
 
 def _hard(s, d):
     train, test = m.train_test(class_data(s, d), "ShipmentID")
-    fitted = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic", "random_forest", "linear_svm"))
+    fitted = m.fit_all(m.class_weights(train), m.CLASSIFIERS)
     weights = m.accuracy_weights(m.scored_columns(fitted, train), list(fitted))
     return tidy(ev.classification_metrics(m.scored_columns(fitted, test).select(col("label").alias("y"), m.weighted_vote(weights).alias("p"))))
 
@@ -187,7 +201,7 @@ def _regression_flow(s, d):
     ranked = sel.ranked(sel.f_regression(frame, DELIVERY, "DeliveryVariance"), "f_regression", 8)
     chosen = [r.feature for r in ranked.filter("selected").orderBy("rank").collect()]
     train, test = m.train_test(m.design(frame, chosen, "DeliveryVariance", ["ShipmentID"]), "ShipmentID")
-    fitted = m.fit_all(train, subset(m.REGRESSORS, "ridge", "gradient_boost"))
+    fitted = m.fit_all(train, m.REGRESSORS)
     return tidy(ev.compare_models(ev.regression_metrics(m.predictions(fitted, test, "ShipmentID"), ["model"])))
 
 
@@ -211,12 +225,30 @@ def _rfm(s, d):
     return cust.rfm_scores(cust.rfm_base(invoices(s, d), b.as_of()))
 
 
-def _kmeans(s, d):
+def _segmented(s, d):
+    """Customers with their cluster, and the model; the number of clusters is the one with the best silhouette."""
     data = m.standardised(_rfm(s, d), m.RFM_FEATURES)
-    return m.cluster(data, 4).transform(data).select("CustomerKey", col("prediction").alias("Segment_KMeans"))
+    best = m.choose_k(data, 2, 10).orderBy(col("silhouette").desc(), "k").first()  # one row per k
+    model = m.cluster(data, best.k)
+    return model.transform(data), model
+
+
+def _kmeans(s, d):
+    return _segmented(s, d)[0].select("CustomerKey", col("prediction").alias("Segment_KMeans"))
+
+
+def _nearest_centre(s, d):
+    """Customers, and those of them that another centre is nearer to than their own."""
+    out, model = _segmented(s, d)
+    x = vector_to_array("features")
+    far = F.array(*[F.aggregate(F.zip_with(x, F.array(*[lit(float(v)) for v in c]), lambda a, v: (a - v) * (a - v)), lit(0.0), lambda a, v: a + v)
+                    for c in model.clusterCenters()])
+    wrong = far[col("prediction")] > F.array_min(far) + 1e-9
+    return out.agg(F.count(lit(1)).alias("customers"), F.count_if(wrong).alias("misplaced"))
 
 
 register("C01_kmeans_segments", _kmeans)
+register("C01b_nearest_centre", _nearest_centre, sql(f"{INV}, {RFM}", "SELECT count(*) AS customers, 0::BIGINT AS misplaced FROM rfm"))
 register("C02_choice_of_k", lambda s, d: tidy(m.choose_k(m.standardised(_rfm(s, d), m.RFM_FEATURES), 2, 10)))
 
 
@@ -233,6 +265,20 @@ def _saved(s, d):
 register("S15_model_persistence", _saved)
 
 
+def _reloaded(s, d):
+    """Test rows, and those that a saved and loaded model predicts otherwise than the model itself."""
+    data, feats = regression_data(s, d)
+    train, test = m.train_test(data, "ShipmentID")
+    fresh = m.fit_all(train, subset(m.REGRESSORS, "ridge"))["ridge"]
+    path = f"{scratch_path(s, 'models')}/DeliveryVariance/ridge"
+    m.save(fresh, path, {"model": "ridge", "features": feats})
+    out = m.scored_columns({"fresh": fresh, "loaded": m.load(s, path)[0]}, test)
+    return out.agg(F.count(lit(1)).alias("n"), F.count_if(~col("pred_fresh").eqNullSafe(col("pred_loaded"))).alias("differing"))
+
+
+register("S15b_reload_check", _reloaded, sql(SHIP, f"SELECT count(*) AS n, 0::BIGINT AS differing FROM shipments WHERE {TESTED}"))
+
+
 def _delivery_models(s, d, frame):
     train, _ = m.train_test(m.design(frame, DELIVERY, "OnTimeDeliveryFlag", ["ShipmentID"]), "ShipmentID")
     clf = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic"))["logistic"]
@@ -240,6 +286,17 @@ def _delivery_models(s, d, frame):
     return clf, m.fit_all(train, subset(m.REGRESSORS, "ridge"))["ridge"]
 
 
+def _linear_check(s, d):
+    """Shipments with a known variance, and those whose prediction is not intercept + coefficients . features."""
+    frame = shipment_frame(s, d)
+    _, reg = _delivery_models(s, d, frame)
+    terms = F.zip_with(vector_to_array("features"), F.array(*[lit(float(v)) for v in reg.coefficients]), lambda x, c: x * c)
+    expected = F.aggregate(terms, lit(float(reg.intercept)), lambda a, x: a + x)
+    out = reg.transform(m.design(frame, DELIVERY, "DeliveryVariance"))
+    wrong = ~(F.abs(col("prediction") - expected) <= 1e-6 * (1 + F.abs(expected)))
+    return out.agg(F.count(lit(1)).alias("n"), F.count_if(wrong).alias("differing"))
+
+
 def _scored_delivery(s, d):
     frame = shipment_frame(s, d)
     clf, reg = _delivery_models(s, d, frame)
@@ -254,15 +311,17 @@ def _batch(s, d):
 
 
 register("V01_batch_predict", _batch)
+register("V01b_linear_check", _linear_check, sql(SHIP, f"SELECT count(*) AS n, 0::BIGINT AS differing FROM shipments WHERE {VARIANCE} IS NOT NULL"))
 register("V02_delivery_scoring", lambda s, d: tidy(_scored_delivery(s, d).select(
     "ShipmentID", "PredictedOnTimeFlag", "OnTimeProbability", "PredictedDeliveryVariance", "PredictedArrivalDate")))
 
 
 def _payment_scoring(s, d):
-    frame = invoice_frame(s, d).filter("InvoiceType = 'Sales'")
-    train, _ = m.train_test(m.design(frame, PAYMENT, "PaymentStatus", ["InvoiceID"]), "InvoiceID")
+    frame = invoice_frame(s, d)
+    train, _ = m.train_test(payment_data(frame), "InvoiceID")
     clf = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic"))["logistic"]
-    return tidy(sc.payment(frame, clf, PAYMENT).select("InvoiceID", "PredictedPaymentStatus", "PaymentProbability"))
+    status = (col("PredictedPaymentStatus") + 1).alias("PredictedPaymentStatus")
+    return tidy(sc.payment(frame, clf, PAYMENT).select("InvoiceID", "InvoiceType", status, "PaymentProbability"))
 
 
 register("V03_payment_scoring", _payment_scoring)
