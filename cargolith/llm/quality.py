@@ -6,23 +6,24 @@ overlap by ``OVERLAP`` and together cover the whole text. Each chunk gives the m
 share of repeated bytes; the text's probability is the logistic function of a weighted sum of their means over
 all chunks, after a rectifier. The gradient passes through each chunk's maximum only.
 
-Fitting takes the ``SAMPLE`` labelled texts with the smallest hash of their id (``LIMIT`` bytes of them at most, all
-whole texts); this bound is the only one, every text is scored in full.
+Fitting takes the ``SAMPLE`` labelled texts of ``LONGEST`` bytes or less with the smallest hash of their id (``LIMIT``
+bytes of them at most, all whole texts); these bounds are the only ones, every text is scored in full.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargolith.llm.common import like, mix, text_slices
+from cargolith.llm.common import like, mix, stash, text_slices
 
 FILTERS, TAPS, CHUNK, OVERLAP, GRAM = 8, 5, 1024, 64, 6
-SAMPLE, LIMIT, EPOCHS = 3000, 16_000_000, 4
+SAMPLE, LIMIT, LONGEST, EPOCHS = 3000, 16_000_000, 1_000_000, 4
 SEED = 3
 
 
@@ -120,20 +121,20 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
     Rows that repeat an id count once: the smallest text, the largest label.
     """
     known = with_fold(like(labels, "doc_id", "quality").filter("doc_id is not null and quality is not null")).filter("not held_out")
-    chosen = known.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = like(docs, "doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
-    size = F.sum(F.octet_length("text")).over(_running())
-    rows = rows.withColumn("so_far", size).filter(F.col("so_far") <= LIMIT)
-    sample = sorted((r.doc_id, r.text, r.quality) for r in rows.collect())  # SAMPLE rows, LIMIT bytes
+    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    texts = like(docs, "doc_id", "text").filter("text is not null")
+    sizes = texts.select("doc_id", F.octet_length("text").alias("size")).groupBy("doc_id").agg(F.min("size").alias("size")).join(known, "doc_id")
+    chosen = sizes.filter(F.col("size") <= LONGEST).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    rows = texts.filter(F.octet_length("text") <= LONGEST).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
+    rows = stash(rows, "training")
+    order = rows.select("doc_id", F.octet_length("text").alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # SAMPLE rows
+    if not order and sizes.limit(1).count():
+        raise ValueError(f"no labelled text has {LONGEST} bytes or less: nothing to fit on")
+    within = [r.doc_id for r, so_far in zip(order, accumulate(r.size for r in order), strict=True) if so_far <= LIMIT]
+    sample = sorted((r.doc_id, r.text, r.quality) for r in rows.filter(F.col("doc_id").isin(within)).collect())  # SAMPLE rows, LIMIT bytes
     return fit([t.encode() for _, t, _ in sample], [int(q > 0) for _, _, q in sample])
 
 
-def _running():
-    from pyspark.sql.window import Window
-
-    return Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-
-
 def scored(docs: DataFrame, network: Network) -> DataFrame:
     """``docs`` with all rows and columns, and ``score`` (0 to 1); NULL texts count as empty."""
     spark = docs.sparkSession
