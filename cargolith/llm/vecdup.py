@@ -4,7 +4,7 @@ Unit vectors are cut in halves with a codebook each, fitted on a bounded sample;
 cells of a product grid. A vector is stored in its nearest cell and looks into the ``visits`` cells that the
 multi-sequence traversal (ascending sum of both halves' distances) gives first. How many that is follows from
 sample vectors whose links are found by comparison with all rows: the fewest, as a power of two, that reach the
-target recall. All meetings are verified in double precision.
+target recall. Where too few of them have links, pairs made at the threshold are taken as well. All meetings are verified in double precision.
 
 Equal vectors count once, with their number. A hot cell is cut into blocks on both sides; blocks give sums per
 vector and local components, never pairs.
@@ -22,6 +22,8 @@ from cargolith.llm.vectors import grouped, k_means, nearest, sample, squared, un
 
 COSINE, TARGET = 0.9, 0.995
 SAMPLE, PROBES, CELL, CODEWORDS = 20_000, 256, 64, 1024
+#: Probes of the second try, linked probes that a measured recall needs, made pairs.
+MORE, LINKED, PARTNERS = 2048, 200, 2000
 LEAST_VISITS = 8
 
 
@@ -63,12 +65,38 @@ class Grid:
         return int(np.searchsorted(np.sort(b), own - a, "left").sum())
 
 
+def _partner_visits(points: DataFrame, grid: Grid) -> int:
+    """Cells to visit for the target recall on made pairs: sample vectors, each with one at the cosine COSINE in a random direction."""
+    x = sample(points, PARTNERS, salt=2)
+    if not len(x) or x.shape[1] < 2:
+        return LEAST_VISITS
+    x = _unit(x)
+    noise = np.random.default_rng(29).normal(size=x.shape)
+    y = COSINE * x + np.sqrt(1 - COSINE**2) * _unit(noise - (noise * x).sum(1)[:, None] * x)
+    (xa, xb), (ya, yb), hx, hy = grid.halves(x), grid.halves(y), grid.home(x), grid.home(y)
+    # A pair is found if either of the two visits the other's cell.
+    ranks = [min(grid.rank(xa[k], xb[k], hy[k]), grid.rank(ya[k], yb[k], hx[k])) for k in range(len(x))]
+    return max(LEAST_VISITS, 2 ** int(np.quantile(ranks, TARGET, method="higher")).bit_length())
+
+
 def _visits(points: DataFrame, grid: Grid) -> int:
-    """Cells to visit for the target recall, averaged over sample vectors that have links at all."""
-    probes = sample(points, PROBES, salt=1)
+    """Cells to visit for the target recall, from sample vectors that have links; MORE of them where PROBES hold few.
+
+    Where those hold under LINKED too, as links are rare, made pairs at the threshold decide as well.
+    """
+    for probes in (PROBES, MORE):
+        visits, linked = _linked_visits(points, grid, probes)
+        if linked >= LINKED:
+            return visits
+    return max(visits, _partner_visits(points, grid))
+
+
+def _linked_visits(points: DataFrame, grid: Grid, count: int) -> tuple[int, int]:
+    """Cells to visit for the target recall, averaged over those of ``count`` sample vectors that have links, and their number."""
+    probes = sample(points, count, salt=1)
     if not len(probes):
-        return LEAST_VISITS
-    shared = points.sparkSession.sparkContext.broadcast((_unit(probes), grid))  # PROBES rows and two codebooks
+        return LEAST_VISITS, 0
+    shared = points.sparkSession.sparkContext.broadcast((_unit(probes), grid))  # ``count`` rows and two codebooks
 
     def run(frames):
         probes, grid = shared.value
@@ -90,10 +118,10 @@ def _visits(points: DataFrame, grid: Grid) -> int:
     per = got.pivot_table(index="q", columns="steps", values="n", aggfunc="sum", fill_value=0)
     per = per[per.sum(axis=1) > 0]
     if not len(per):
-        return LEAST_VISITS
+        return LEAST_VISITS, 0
     recall = per.div(per.sum(axis=1), axis=0).cumsum(axis=1).mean(axis=0)
     enough = recall[recall >= TARGET]
-    return max(LEAST_VISITS, 2 ** int(enough.index[0] if len(enough) else recall.index[-1]))
+    return max(LEAST_VISITS, 2 ** int(enough.index[0] if len(enough) else recall.index[-1])), len(per)
 
 
 def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -148,15 +176,16 @@ def vector_duplicates(table: DataFrame) -> DataFrame:
     def place(frames):
         grid = shared.value
         for pdf in frames:
-            for lo in range(0, len(pdf), 2048):
-                part = pdf.iloc[lo : lo + 2048]
+            step = max(64, 2048 * 64 // max(64, visits))
+            for lo in range(0, len(pdf), step):
+                part = pdf.iloc[lo : lo + step]
                 x = _unit(np.stack(part["embedding"].to_numpy()))
                 seen = grid.traverse(x, visits)
                 yield part.assign(home=seen[:, 0], visited=list(seen))
 
     placed = stash(classes.mapInPandas(place, "embedding array<double>, vec_id long, copies long, home long, visited array<long>"), "placed")
     base = placed.withColumn("cell", F.col("home"))
-    probes = placed.withColumn("cell", F.explode("visited"))
+    probes = placed.withColumn("cell", F.explode("visited")).withColumn("visited", F.lit(None).cast("array<long>"))  # only the other side's are read
     met = stash(grouped(base, probes, "cell").applyInPandas(_compare, "vec_id long, links long, leader long"), "met")
     sums = met.groupBy("vec_id").agg(F.sum("links").alias("links"))
     joined = components(met.select(F.col("vec_id").alias("a"), F.col("leader").alias("b")).distinct())

@@ -78,3 +78,14 @@ def test_traversal_is_in_order():
         every = (a[k][:, None] + b[k][None, :]).reshape(-1)
         assert np.allclose(every[cells], np.sort(every)[:12]) and grid.rank(a[k], b[k], int(cells[5])) in (5, 6)  # rounding
     assert ann.TARGET > 0.9
+
+
+def test_visits_are_fitted_where_links_are_rare(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    noise = rng.normal(size=(60, 32))
+    noise -= (noise * x[:60]).sum(1)[:, None] * x[:60]
+    x[60:120] = 0.902 * x[:60] + np.sqrt(1 - 0.902**2) * noise / np.linalg.norm(noise, axis=1)[:, None]
+    got = {r.vec_id: r.n_links for r in vector_duplicates(frame(spark, x)).collect()}
+    assert sum(got[k] >= 1 for k in range(60)) >= 59
