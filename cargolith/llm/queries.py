@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolith.llm import ann, bpe, chat, idfiles, neardup, packing, personal, quality, substring, vecdup
+from cargolith.llm import ann, bpe, chat, digests, idfiles, neardup, packing, personal, quality, substring, vecdup
 from cargolith.llm.common import read_table, stash
 
 
@@ -64,8 +64,14 @@ def op10_id_files(spark: SparkSession, folder: str) -> DataFrame:
     return idfiles.round_trip(read_table(spark, folder, "documents"), str(public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """See ``digests.exact_duplicates``."""
+    return digests.exact_duplicates(read_table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op2_byte_bpe, op3_quality, op4_minhash_neardup, op5_personal_data, op6_packing, op7_chat, op8_embedding_neardup, op9_neighbours, op10_id_files)}
+    op1_substring_dedup, op2_byte_bpe, op3_quality, op4_minhash_neardup, op5_personal_data, op6_packing, op7_chat, op8_embedding_neardup, op9_neighbours, op10_id_files,
+    op11_exact_dedup)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SQL = {
@@ -81,6 +87,10 @@ both_ways as (select a, b from e union all select b, a from e),
 reach(node, root) as (select doc_id, doc_id from documents union select l.b, r.root from reach r join both_ways l on l.a = r.node where r.root < l.b)
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, r.root as component_id, d.doc_id = r.root as kept
 from documents d left join n using (doc_id) join (select node, min(root) as root from reach group by node) r on r.node = d.doc_id
+""",
+    "op11_exact_dedup": f"""
+select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size, doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
+from (select doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') as t from documents)
 """,
     "op8_embedding_neardup": """
 with recursive v as (select vec_id, embedding::double[] as x from embeddings),
