@@ -116,10 +116,14 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     after = np.concatenate((gap[1:], [True])) if n else np.zeros(0, bool)
     starts = np.flatnonzero(~gap & (before | head[:n]))
     ends = np.flatnonzero(~gap & (after | head[1 : n + 1])) + 1
-    power, inverse = _power(n)
+    return span_hashes(data, starts, ends), starts, ends, np.searchsorted(starts, offs, "left")
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span; A-Z hash as a-z."""
+    power, inverse = _power(len(data))
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * power, dtype=np.uint64)))
-    hashes = mix((total[ends] - total[starts]) * inverse[starts])
-    return hashes, starts, ends, np.searchsorted(starts, offs, "left")
+    return mix((total[ends] - total[starts]) * inverse[starts])
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
