@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from cargolith.catalog import binding as b
 from cargolith.catalog.registry import register, tidy
 from cargolith.catalog.scalars import band
-from cargolith.catalog.sqlbase import INV, RFM, SHIP, VARIANCE, sql
+from cargolith.catalog.sqlbase import INV, RFM, SCORES, SHIP, VARIANCE, sql
+from cargolith.operators.density import density_clusters
 from cargolith.plans import customers as cust
 from cargolith.plans import evaluation as ev
 from cargolith.plans import features as f
@@ -252,6 +253,28 @@ register("C01b_nearest_centre", _nearest_centre, sql(f"{INV}, {RFM}", "SELECT co
 register("C02_choice_of_k", lambda s, d: tidy(m.choose_k(m.standardised(_rfm(s, d), m.RFM_FEATURES), 2, 10)))
 
 
+def _density(s, d):
+    """Density clusters of the customers: eps 0.5, five points, over the scaled features of the k-means segments."""
+    points = cust.standard_vector(_rfm(s, d), m.RFM_FEATURES).select("CustomerKey", "vector")
+    return density_clusters(points, "CustomerKey", "vector", len(m.RFM_FEATURES)).withColumnRenamed("cluster", "Segment_DBSCAN")
+
+
+_Z = ", ".join(f"(coalesce({c}, 0) - avg(coalesce({c}, 0)::DOUBLE) OVER ()) / coalesce(nullif(stddev_pop(coalesce({c}, 0)::DOUBLE) OVER (), 0), 1) AS f{i}"
+               for i, c in enumerate(m.RFM_FEATURES))
+_DBSCAN = f"""WITH RECURSIVE {INV},
+{SCORES},
+z AS (SELECT CustomerKey, {_Z} FROM scores),
+e AS (SELECT a.CustomerKey AS a, b.CustomerKey AS b FROM z a, z b WHERE {" + ".join(f"(a.f{i} - b.f{i}) * (a.f{i} - b.f{i})" for i in range(len(m.RFM_FEATURES)))} <= 0.25),
+core AS (SELECT a AS k FROM e GROUP BY a HAVING count(*) >= 5),
+l AS (SELECT a, b FROM e SEMI JOIN core x ON x.k = e.a SEMI JOIN core y ON y.k = e.b WHERE a <> b),
+reach(node, root) AS (SELECT k, k FROM core UNION SELECT l.b, r.root FROM reach r JOIN l ON l.a = r.node WHERE r.root < l.b),
+label AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+number AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS c FROM (SELECT DISTINCT root FROM label))
+SELECT z.CustomerKey, coalesce(min(c), -1)::BIGINT AS Segment_DBSCAN
+FROM z LEFT JOIN e ON e.a = z.CustomerKey AND (z.CustomerKey NOT IN (SELECT k FROM core) OR e.b = e.a) LEFT JOIN label ON label.node = e.b LEFT JOIN number USING (root) GROUP BY 1"""
+register("C03_dbscan_segments", _density, _DBSCAN)
+
+
 def _saved(s, d):
     data, feats = regression_data(s, d)
     train, test = m.train_test(data, "ShipmentID")

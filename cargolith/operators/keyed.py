@@ -36,3 +36,29 @@ def unmatched(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
 def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Left join that keeps rows without a partner."""
     return df.join(dim, on, "left")
+
+
+#: Slots that the rows of one group are dealt to: one bit each of a 64-bit number.
+SLOTS = 64
+
+
+def _slot(row_id: str) -> Column:
+    return F.pmod(F.xxhash64(row_id), F.lit(SLOTS)).cast("int")
+
+
+def group_slots(rows: DataFrame, keys: Sequence[str], row_id: str, measures: Sequence[Column]) -> DataFrame:
+    """Aggregates per group, combined before the shuffle, once for every slot (``__slot``) that rows of the group fall into."""
+    one = F.lit(1).cast("long")
+    grouped = rows.groupBy(*keys).agg(*measures, F.bit_or(F.call_function("shiftleft", one, _slot(row_id))).alias("__bits"))
+    used = F.filter(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda s: F.call_function("shiftrightunsigned", F.col("__bits"), s).bitwiseAND(one) == 1)
+    return grouped.withColumn("__slot", F.explode(used)).drop("__bits")
+
+
+def meet(rows: DataFrame, slots: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
+    """``rows`` with what :func:`group_slots` found for their group: a hot group meets its rows in many tasks."""
+    return rows.withColumn("__slot", _slot(row_id)).join(slots, [*keys, "__slot"]).drop("__slot")
+
+
+def with_group(rows: DataFrame, keys: Sequence[str], row_id: str, measures: Sequence[Column]) -> DataFrame:
+    """``rows`` with aggregates of their group, for groups of any size."""
+    return meet(rows, group_slots(rows, keys, row_id, measures), keys, row_id)

@@ -181,3 +181,11 @@ def value_quintile(df: DataFrame, column: str, name: str, reverse: bool = False)
     placed = attach(df, edges)
     place = F.greatest(F.lit(1), F.size(F.filter("__edges", lambda e: e < F.col(column))))
     return placed.withColumn(name, (6 - place) if reverse else place).drop("__edges")
+
+
+def standard_vector(df: DataFrame, features: list[str], name: str = "vector") -> DataFrame:
+    """Adds the features as an array, each less its mean and over its population deviation (1 where that is 0); NULL counts as 0."""
+    values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]
+    stats = df.agg(F.array(*[F.avg(v) for v in values]).alias("__mean"), F.array(*[F.stddev_pop(v) for v in values]).alias("__dev"))
+    scaled = [(v - F.col("__mean")[i]) / F.when(F.col("__dev")[i] == 0, 1.0).otherwise(F.col("__dev")[i]) for i, v in enumerate(values)]
+    return attach(df, stats).withColumn(name, F.array(*scaled)).drop("__mean", "__dev")

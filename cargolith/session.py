@@ -70,3 +70,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table, inside the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def stash(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` as Parquet to a fresh path in the shared folder and reads it back: the lineage ends there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stash_path = path
+    return out
+
+
+def drop_stash(*frames: DataFrame) -> None:
+    """Removes the files of stashed frames that nothing reads any more."""
+    for df in frames:
+        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stash_path)
+        target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
