@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cargolith.catalog import binding as b
+from cargolith.catalog import sqlmodels as sm
 from cargolith.catalog.registry import register, tidy
 from cargolith.catalog.scalars import band
 from cargolith.catalog.sqlbase import INV, RFM, SCORES, SHIP, VARIANCE, sql
@@ -15,10 +17,11 @@ from cargolith.operators.density import density_clusters
 from cargolith.plans import customers as cust
 from cargolith.plans import evaluation as ev
 from cargolith.plans import features as f
+from cargolith.plans import linear as lin
 from cargolith.plans import models as m
 from cargolith.plans import scoring as sc
 from cargolith.plans import selection as sel
-from cargolith.session import scratch_path
+from cargolith.session import scratch_path, stash
 from cargolith.sources.marts import invoices, shipments
 from cargolith.sources.tables import parquet
 
@@ -41,42 +44,89 @@ def invoice_frame(s, d):
 
 
 def regression_data(s, d):
-    """Delivery variance from what is known at departure."""
-    return m.design(shipment_frame(s, d), DELIVERY, "DeliveryVariance", ["ShipmentID"]), DELIVERY
+    """Delivery variance from what is known at departure; written once, as every fit and score reads it."""
+    return stash(m.design(shipment_frame(s, d), DELIVERY, "DeliveryVariance", ["ShipmentID"]), "design"), DELIVERY
 
 
 def class_data(s, d):
-    return m.design(shipment_frame(s, d), DELIVERY, "OnTimeDeliveryFlag", ["ShipmentID"])
+    return stash(m.design(shipment_frame(s, d), DELIVERY, "OnTimeDeliveryFlag", ["ShipmentID"]), "design")
 
 
 def payment_data(frame):
     """Payment status 1 to 4 of sales and purchases as classes 0 to 3."""
-    return m.design(frame, PAYMENT, "PaymentStatus", ["InvoiceID"]).withColumn("label", col("label") - 1)
+    data = m.design(frame, PAYMENT, "PaymentStatus", ["InvoiceID", "InvoiceType"]).withColumn("label", col("label") - 1)
+    return stash(data.withColumn("Invoice", F.concat_ws(":", "InvoiceType", "InvoiceID")), "design")
 
 
 def subset(factories, *names):
     return {n: factories[n] for n in names}
 
 
+_held = {}
+
+
+def _once(name, s, d, make):
+    """What ``make`` returns, fitted once per session and folder: several queries read the same models."""
+    key = (name, s.sparkContext.applicationId, d)
+    if key not in _held:
+        _held[key] = make(s, d)
+    return _held[key]
+
+
+def _fit_regressors(s, d):
+    train, test = m.train_test(regression_data(s, d)[0], "ShipmentID")
+    return m.fit_all(train, m.REGRESSORS), train, test
+
+
+def fitted_regressors(s, d):
+    """All five regressors at full size, their training rows and their test rows."""
+    return _once("regressors", s, d, _fit_regressors)
+
+
 def _regressors(s, d):
+    fitted, _, test = fitted_regressors(s, d)
+    return tidy(ev.regression_metrics(m.predictions(fitted, test, "ShipmentID"), ["model"]))
+
+
+register("R01_regressors", _regressors)
+
+
+def _ridge(s, d):
     data, _ = regression_data(s, d)
     train, test = m.train_test(data, "ShipmentID")
-    return tidy(ev.regression_metrics(m.predictions(m.fit_all(train, m.REGRESSORS), test, "ShipmentID"), ["model"]))
+    return m.REGRESSORS["ridge"]().fit(train), test
 
 
-register("R01_regressors", _regressors)
-def _tuned(s, d):
+_RIDGE = "WITH RECURSIVE " + sm.ridge(m.SEED, 5)
+register("R01b_ridge_predictions", lambda s, d: tidy((lambda model, test: model.transform(test).select("ShipmentID", "prediction"))(*_ridge(s, d))),
+    f"{_RIDGE} SELECT ShipmentID, round({sm.PREDICTED}, 4) AS prediction FROM z, coef WHERE test AND coef.fold = -1 AND alpha = 1")
+
+
+def _folded(s, d):
     data, _ = regression_data(s, d)
-    train, _ = m.train_test(data, "ShipmentID")
-    train = train.withColumn("fold", m.fold_of("ShipmentID", 5)).persist()
-    try:
-        _, table = m.tune(train, m.REGRESSORS["elastic_net"](), m.REGRESSION_GRIDS["elastic_net"], "regression", folds=5, sample=4, fold_col="fold")
-    finally:
-        train.unpersist()
-    return tidy(table)
+    return m.train_test(data, "ShipmentID")[0].withColumn("fold", m.fold_of("ShipmentID", 5))
+
+
+def _tuned(s, d):
+    """Every candidate of the three linear learners over five folds, from one scan."""
+    return tidy(lin.tuned(_folded(s, d), "fold")[1])
 
 
 register("R03_tuning", _tuned)
+_HELD = " + ".join(f"w[{i + 1}] * x{i}" for i in range(sm.P))
+register("R03b_ridge_candidates", lambda s, d: tidy(lin.tuned(_folded(s, d), "fold", ["ridge"])[1].select(
+        F.get_json_object("params", "$.alpha").cast("double").alias("alpha"), "cv_mean", "cv_std")),
+    f"""{_RIDGE}, e AS (SELECT alpha, z.fold, avg(pow(y - ({sm.PREDICTED}), 2)) AS mse FROM z JOIN coef ON z.fold = coef.fold WHERE NOT test GROUP BY 1, 2)
+SELECT alpha, round(avg(mse), 4) AS cv_mean, round(stddev_pop(mse), 4) AS cv_std FROM e GROUP BY 1""")
+
+
+def _tuned_classifier(s, d):
+    """All six candidates of the logistic model over five folds of the stratified training part."""
+    train, _ = m.stratified_split(class_data(s, d), "ShipmentID", "label")
+    return tidy(m.tune_classifier(train.withColumn("fold", m.fold_of("ShipmentID", 5)), "logistic", "fold")[1])
+
+
+register("R03c_classifier_tuning", _tuned_classifier)
 register("R04_hash_split", lambda s, d: m.train_test(shipments(s, d, "ShipmentID", "ShipmentValue"), "ShipmentID")[1],
     sql(SHIP, f"""SELECT ShipmentID, ShipmentValue FROM shipments
 WHERE ('0x' || left(md5('{m.SEED}:' || ShipmentID), 8))::BIGINT / 4294967296.0 < 0.2"""))
@@ -90,7 +140,7 @@ def _time_folds(s, d):
     base = m.time_folds(shipment_frame(s, d), "ShipmentDate", 5)
     data = m.design(base, DELIVERY, "DeliveryVariance", ["fold"]).persist()
     try:
-        rows = [(n, i + 1, float(x)) for n, make in m.REGRESSORS.items() for i, x in enumerate(m.expanding_scores(data, make(), "regression", 5))]
+        rows = [(n, i + 1, float(x)) for n, make in m.regressors(**m.FEW_TREES).items() for i, x in enumerate(m.expanding_scores(data, make(), "regression", 5))]
     finally:
         data.unpersist()
     return tidy(s.createDataFrame(rows, "model string, fold int, rmse double"))
@@ -102,41 +152,73 @@ register("R05b_fold_sizes", lambda s, d: m.time_folds(shipments(s, d, "ShipmentD
     "SELECT CAST(len(list_filter(q, lambda x: x < date_diff('day', DATE '1970-01-01', ShipmentDate))) AS INTEGER) AS fold, count(*) AS n FROM shipments, e GROUP BY 1"))
 
 
+def _stratified(s, d):
+    """Share and size of each class in the test part; the test rows by id."""
+    frame = shipment_frame(s, d).select("ShipmentID", col("OnTimeDeliveryFlag").alias("label"))
+    return m.stratified_split(frame, "ShipmentID", "label")[1]
+
+
+register("R04c_stratified_split", _stratified, sql(SHIP, f"""
+SELECT ShipmentID, label FROM (SELECT *, rank() OVER (PARTITION BY label ORDER BY {sm.digest(m.SEED)}, ShipmentID) AS r, count(*) OVER (PARTITION BY label) AS n
+  FROM (SELECT ShipmentID, CASE WHEN {VARIANCE} <= 0 THEN 1 ELSE 0 END AS label FROM shipments))
+WHERE r <= floor(n * 0.2 + 0.5)"""))
+
+
+def class_parts(s, d):
+    """Training rows with class weights, and test rows; each class has its share of both."""
+    train, test = m.stratified_split(class_data(s, d), "ShipmentID", "label")
+    return m.class_weights(stash(train, "train")), stash(test, "test")
+
+
+def payment_parts(frame):
+    train, test = m.stratified_split(payment_data(frame), "Invoice", "label")
+    return m.class_weights(stash(train, "train")), stash(test, "test")
+
+
+def _fit_classifiers(s, d):
+    train, test = class_parts(s, d)
+    return m.fit_all(train, m.CLASSIFIERS), train, test
+
+
+def fitted_classifiers(s, d):
+    """All four classifiers at full size, their training rows and their test rows."""
+    return _once("classifiers", s, d, _fit_classifiers)
+
+
+def _by_model(fitted, test, key, measure):
+    out = None
+    for n, x in fitted.items():
+        part = measure(m.predictions({n: x}, test, key)).withColumn("model", lit(n))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _classifiers(s, d):
-    train, test = m.train_test(class_data(s, d), "ShipmentID")
-    fitted = m.fit_all(m.class_weights(train), m.CLASSIFIERS)
-    parts = [ev.classification_metrics(m.predictions({n: x}, test, "ShipmentID")).withColumn("model", lit(n)) for n, x in fitted.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return tidy(out)
+    fitted, _, test = fitted_classifiers(s, d)
+    return tidy(_by_model(fitted, test, "ShipmentID", ev.classification_metrics))
 
 
 register("R06_classifiers", _classifiers)
 
 
 def _payment_models(s, d):
-    train, test = m.train_test(payment_data(invoice_frame(s, d)), "InvoiceID")
-    fitted = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic", "linear_svm"), classes=4)
-    parts = [ev.class_report(m.predictions({n: x}, test, "InvoiceID")).withColumn("model", lit(n)) for n, x in fitted.items()]
-    return tidy(parts[0].unionByName(parts[1]))
+    train, test = payment_parts(invoice_frame(s, d))
+    return tidy(_by_model(m.fit_all(train, m.classifiers(**m.FEW_TREES), classes=4), test, "Invoice", ev.class_report))
 
 
 register("R06b_multiclass", _payment_models)
 
 
 def _importance(s, d):
-    data, feats = regression_data(s, d)
-    train, _ = m.train_test(data, "ShipmentID")
-    return tidy(m.importance_table(s, m.fit_all(train, m.REGRESSORS), feats))
+    return tidy(m.importance_table(s, fitted_regressors(s, d)[0], DELIVERY))
 
 
 register("R07_feature_importance", _importance)
 
 
 def _proba(s, d):
-    train, test = m.train_test(class_data(s, d), "ShipmentID")
-    model = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic"))["logistic"]
+    train, test = class_parts(s, d)
+    model = m.fit_all(train, subset(m.CLASSIFIERS, "logistic"))["logistic"]
     return model.transform(test).select("ShipmentID", "label", "prediction", vector_to_array("probability").alias("p"))
 
 
@@ -148,13 +230,13 @@ def _proba_check(s, d):
 
 
 register("R08_probability", lambda s, d: tidy(_proba(s, d).select("ShipmentID", "label", col("p")[1].alias("probability"))))
-register("R08b_probability_check", _proba_check, sql(SHIP, f"SELECT count(*) AS n, 0::BIGINT AS unsound FROM shipments WHERE {TESTED}"))
+register("R08b_probability_check", _proba_check, sql(SHIP, f"""
+SELECT count(*) AS n, 0::BIGINT AS unsound FROM (SELECT rank() OVER (PARTITION BY label ORDER BY {sm.digest(m.SEED)}, ShipmentID) AS r, count(*) OVER (PARTITION BY label) AS n
+  FROM (SELECT ShipmentID, CASE WHEN {VARIANCE} <= 0 THEN 1 ELSE 0 END AS label FROM shipments)) WHERE r <= floor(n * 0.2 + 0.5)"""))
 
 
 def _voting(s, d):
-    data, _ = regression_data(s, d)
-    train, test = m.train_test(data, "ShipmentID")
-    fitted = m.fit_all(train, m.REGRESSORS)
+    fitted, train, test = fitted_regressors(s, d)
     weights = m.inverse_error_weights(m.scored_columns(fitted, train), list(fitted))
     scored = m.scored_columns(fitted, test)
     return tidy(ev.regression_metrics(scored.select(col("label").alias("y"), m.weighted_mean(weights).alias("p"))))
@@ -164,8 +246,9 @@ register("R09_weighted_voting", _voting)
 
 
 def _soft(s, d):
-    train, test = m.train_test(class_data(s, d), "ShipmentID")
-    fitted = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic", "random_forest", "gradient_boost"))
+    """Weighted mean of the probabilities of the classifiers that have them (the linear machine has none)."""
+    fitted, train, test = fitted_classifiers(s, d)
+    fitted = subset(fitted, "logistic", "random_forest", "gradient_boost")
     weights = m.accuracy_weights(m.scored_columns(fitted, train), list(fitted))
     soft = m.soft_vote(fitted, test, weights).select("ShipmentID", col("label").alias("y"), col("prediction").alias("p"))
     return tidy(ev.classification_metrics(soft))
@@ -175,8 +258,7 @@ register("R09b_soft_voting", _soft)
 
 
 def _hard(s, d):
-    train, test = m.train_test(class_data(s, d), "ShipmentID")
-    fitted = m.fit_all(m.class_weights(train), m.CLASSIFIERS)
+    fitted, train, test = fitted_classifiers(s, d)
     weights = m.accuracy_weights(m.scored_columns(fitted, train), list(fitted))
     return tidy(ev.classification_metrics(m.scored_columns(fitted, test).select(col("label").alias("y"), m.weighted_vote(weights).alias("p"))))
 
@@ -185,43 +267,79 @@ register("R13_trained_ensemble", _hard)
 
 
 def _stacking(s, d):
+    """All five regressors under a linear meta-learner."""
     data, _ = regression_data(s, d)
     train, test = m.train_test(data, "ShipmentID")
-    factories = subset(m.REGRESSORS, "ridge", "random_forest")
-    base, meta = m.stack(train, "ShipmentID", factories, LinearRegression(), folds=5)
-    out = meta.transform(m.stacked_features(m.scored_columns(base, test), list(factories)))
+    base, meta = m.stack(train, "ShipmentID", m.regressors(**m.FEW_TREES), LinearRegression(), folds=5)
+    out = meta.transform(m.stacked_features(m.scored_columns(base, test), list(base)))
     return tidy(ev.regression_metrics(out.select(col("label").alias("y"), col("prediction").alias("p"))))
 
 
 register("R10_stacking", _stacking)
 
 
+def _class_stacking(s, d):
+    """The classifiers with probabilities under a logistic meta-learner, which sees their probability of class 1."""
+    train, test = class_parts(s, d)
+    factories = subset(m.classifiers(**m.FEW_TREES), "logistic", "random_forest", "gradient_boost")
+    base, meta = m.stack(train, "ShipmentID", factories, LogisticRegression(), folds=5, score=m.probability_columns)
+    out = meta.transform(m.stacked_features(m.probability_columns(base, test), list(base)))
+    return tidy(ev.classification_metrics(out.select(col("label").alias("y"), col("prediction").alias("p"))))
+
+
+register("R10b_class_stacking", _class_stacking)
+
+
 def _regression_flow(s, d):
-    """Features, selection, split, fit, evaluation, best model."""
+    """Features, selection of 15 at most, split, linear learners tuned over their whole grid, forest and boosted
+    trees, evaluation, the ensemble weighted by inverse error, ranks."""
     frame = shipment_frame(s, d)
-    ranked = sel.ranked(sel.f_regression(frame, DELIVERY, "DeliveryVariance"), "f_regression", 8)
+    ranked = sel.ranked(sel.f_regression(frame, DELIVERY, "DeliveryVariance"), "f_regression", 15)
     chosen = [r.feature for r in ranked.filter("selected").orderBy("rank").collect()]
-    train, test = m.train_test(m.design(frame, chosen, "DeliveryVariance", ["ShipmentID"]), "ShipmentID")
-    fitted = m.fit_all(train, m.REGRESSORS)
-    return tidy(ev.compare_models(ev.regression_metrics(m.predictions(fitted, test, "ShipmentID"), ["model"])))
+    data = stash(m.design(frame, chosen, "DeliveryVariance", ["ShipmentID"]), "design")
+    train, test = m.train_test(data, "ShipmentID")
+    fitted = lin.tuned(train.withColumn("fold", m.fold_of("ShipmentID", 5)), "fold")[0] | m.fit_all(train, subset(m.REGRESSORS, "random_forest", "gradient_boost"))
+    scored = m.scored_columns(fitted, train)
+    weights = m.inverse_error_weights(scored, list(fitted))
+    # One scan of the test part scores all models; a row per model and the ensemble follows from it.
+    columns = [F.struct(lit(n).alias("model"), col(f"pred_{n}").alias("p")) for n in fitted] + [F.struct(lit("ensemble").alias("model"), m.weighted_mean(weights).alias("p"))]
+    rows = m.scored_columns(fitted, test).select("ShipmentID", col("label").alias("y"), F.inline(F.array(*columns)))
+    return tidy(ev.compare_models(ev.regression_metrics(rows, ["model"])))
 
 
 register("R11_regression_flow", _regression_flow)
 
 
 def _classification_flow(s, d):
+    """Features, selection of 15 at most, stratified split, the three classifiers of the flow, evaluation, best model."""
     frame = shipment_frame(s, d)
-    ranked = sel.ranked(sel.f_classification(frame, DELIVERY, "OnTimeDeliveryFlag"), "f_classification", 8)
+    ranked = sel.ranked(sel.f_classification(frame, DELIVERY, "OnTimeDeliveryFlag"), "f_classification", 15)
     chosen = [r.feature for r in ranked.filter("selected").orderBy("rank").collect()]
-    train, test = m.train_test(m.design(frame, chosen, "OnTimeDeliveryFlag", ["ShipmentID"]), "ShipmentID")
-    fitted = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic"))
-    scored = fitted["logistic"].transform(test)
-    return tidy(ev.accuracy_bands(ev.classification_metrics(scored.select(col("label").alias("y"), col("prediction").alias("p")))))
+    data = stash(m.design(frame, chosen, "OnTimeDeliveryFlag", ["ShipmentID"]), "design")
+    train, test = m.stratified_split(data, "ShipmentID", "label")
+    return _class_table(m.class_weights(stash(train, "train")), stash(test, "test"), "ShipmentID", 2)
+
+
+def _class_table(train, test, key, classes, factories=m.CLASSIFIERS):
+    fitted = m.fit_all(train, subset(factories, "random_forest", "gradient_boost", "logistic"), classes)
+    table = ev.accuracy_bands(_by_model(fitted, test, key, ev.classification_metrics))
+    best = Window.partitionBy().orderBy(col("accuracy").desc(), "model")  # one row per model
+    return tidy(table.withColumn("best", F.row_number().over(best) == 1))
 
 
 register("R12_classification_flow", _classification_flow)
 
 
+def _payment_flow(s, d):
+    """The same flow for the payment status, four classes."""
+    frame = invoice_frame(s, d)
+    train, test = payment_parts(frame)
+    return _class_table(train, test, "Invoice", 4, m.classifiers(**m.FEW_TREES))
+
+
+register("R12b_payment_flow", _payment_flow)
+
+
 def _rfm(s, d):
     return cust.rfm_scores(cust.rfm_base(invoices(s, d), b.as_of()))
 
@@ -341,8 +459,8 @@ register("V02_delivery_scoring", lambda s, d: tidy(_scored_delivery(s, d).select
 
 def _payment_scoring(s, d):
     frame = invoice_frame(s, d)
-    train, _ = m.train_test(payment_data(frame), "InvoiceID")
-    clf = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic"))["logistic"]
+    train, _ = payment_parts(frame)
+    clf = m.fit_all(train, subset(m.CLASSIFIERS, "logistic"))["logistic"]
     status = (col("PredictedPaymentStatus") + 1).alias("PredictedPaymentStatus")
     return tidy(sc.payment(frame, clf, PAYMENT).select("InvoiceID", "InvoiceType", status, "PaymentProbability"))
 

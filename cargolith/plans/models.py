@@ -5,22 +5,24 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from itertools import product
+from multiprocessing.pool import ThreadPool
 from random import Random
+from statistics import pstdev
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolith.operators.ranking import quantile_rows
+from cargolith.operators.ranking import quantile_rows, row_numbers
 from cargolith.operators.stats import attach
+from cargolith.plans.linear import MomentRegression
 from cargolith.session import tiny
 
 col, lit, when = F.col, F.lit, F.when
@@ -40,6 +42,38 @@ def train_test(df: DataFrame, key: str, test: float = 0.2, seed: int = SEED) ->
     return df.filter(share >= test), df.filter(share < test)
 
 
+def stratified_split(df: DataFrame, key: str, label: str, test: float = 0.2, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """Train and test part with an exact quota per class: of n rows of a class, the floor(n * test + 1/2) with the
+    smallest digest are test rows, ties by ``key``; rows of one class that share a key go to the same part, past the
+    quota if need be. Rows without a label are in neither part.
+
+    One pass brackets each class's cutoff between two approximate percentiles, a second one counts the rows
+    below the bracket; only the rows inside, some thousandths, are ordered. There is one row per class in all
+    that is broadcast.
+    """
+    accuracy, margin = 10_000, 4.0 / 10_000
+    known = df.filter(col(label).isNotNull())
+    rows = known.select(col(label).alias("__c"), col(key).alias("__k"), split_share(col(key), seed).alias("__s"))
+    sizes = rows.groupBy("__c").agg(
+        F.floor(F.count(lit(1)) * test + 0.5).alias("__quota"), (F.count(lit(1)) <= accuracy).alias("__whole"),
+        F.percentile_approx("__s", [max(0.0, test - margin), min(1.0, test + margin)], accuracy).alias("__ends"))
+    marked = rows.join(tiny(sizes), "__c")
+    # Small classes are ordered whole: there the bracket can be narrower than the quota's rounding.
+    low, high = ~col("__whole") & (col("__s") < col("__ends")[0]), col("__whole") | (col("__s") <= col("__ends")[1])
+    below = marked.groupBy("__c").agg(F.count_if(low).alias("__below"))
+    inside = row_numbers(marked.filter(~low & high).select("__c", "__s", "__k"), ["__c", "__s", "__k"], "__r")
+    first = inside.groupBy("__c").agg(F.min("__r").alias("__first"))
+    bounds = sizes.join(below, "__c").join(first, "__c", "left")
+    at = inside.join(tiny(bounds), "__c").filter(col("__below") + col("__r") - col("__first") + 1 == col("__quota"))
+    cuts = bounds.select("__c", "__quota").join(at.select("__c", F.struct("__s", "__k").alias("__cut")), "__c", "left")
+    missed = F.raise_error(lit("the cutoff lies outside its bracket")).cast("boolean")
+    placed = known.join(tiny(cuts), col(label) == col("__c"))
+    is_test = (when(col("__quota") == 0, False).when(col("__cut").isNull(), missed)
+               .otherwise(F.struct(split_share(col(key), seed).alias("__s"), col(key).alias("__k")) <= col("__cut")))
+    tagged = placed.withColumn("__test", is_test).drop("__c", "__quota", "__cut")
+    return tagged.filter(~col("__test")).drop("__test"), tagged.filter("__test").drop("__test")
+
+
 def fold_of(key: str, folds: int, seed: int = SEED + 1) -> Column:
     return F.floor(split_share(col(key), seed) * folds).cast("int")
 
@@ -52,32 +86,45 @@ def design(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[st
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(rows).select(*keep, "label", "features")
 
 
-REGRESSORS: dict[str, Callable] = {
-    "random_forest": lambda: RandomForestRegressor(numTrees=20, maxDepth=6, seed=SEED),
-    "gradient_boost": lambda: GBTRegressor(maxIter=10, maxDepth=4, seed=SEED),
-    "ridge": lambda: LinearRegression(regParam=1.0, elasticNetParam=0.0),
-    "lasso": lambda: LinearRegression(regParam=0.1, elasticNetParam=1.0),
-    "elastic_net": lambda: LinearRegression(regParam=0.1, elasticNetParam=0.5),
-}
-CLASSIFIERS: dict[str, Callable] = {
-    "random_forest": lambda: RandomForestClassifier(numTrees=20, maxDepth=6, seed=SEED, weightCol="weight"),
-    "gradient_boost": lambda: GBTClassifier(maxIter=10, maxDepth=4, seed=SEED),
-    "logistic": lambda: LogisticRegression(regParam=0.01, maxIter=50, weightCol="weight"),
-    "linear_svm": lambda: LinearSVC(regParam=0.01, maxIter=20, weightCol="weight"),
-}
-# Tuning ranges by model and parameter.
+#: Depth of a forest's trees without tuning; the original sets no limit, which costs a pass per level.
+FOREST_DEPTH = 5
+
+
+def regressors(trees: int = 100, rounds: int = 100) -> dict[str, Callable]:
+    """Factories of the regressors."""
+    return {
+        "random_forest": lambda: RandomForestRegressor(numTrees=trees, maxDepth=FOREST_DEPTH, seed=SEED),
+        "gradient_boost": lambda: GBTRegressor(maxIter=rounds, maxDepth=3, stepSize=0.1, seed=SEED),
+        "ridge": lambda: MomentRegression("ridge"),
+        "lasso": lambda: MomentRegression("lasso"),
+        "elastic_net": lambda: MomentRegression("elastic_net"),
+    }
+
+
+def classifiers(trees: int = 100, rounds: int = 100) -> dict[str, Callable]:
+    """Factories of the classifiers; all but boosting take class weights."""
+    return {
+        "random_forest": lambda: RandomForestClassifier(numTrees=trees, maxDepth=FOREST_DEPTH, seed=SEED, weightCol="weight"),
+        "gradient_boost": lambda: GBTClassifier(maxIter=rounds, maxDepth=3, stepSize=0.1, seed=SEED),
+        "logistic": lambda: LogisticRegression(regParam=0.01, maxIter=100, weightCol="weight"),
+        "linear_svm": lambda: LinearSVC(regParam=0.01, maxIter=50, weightCol="weight"),
+    }
+
+
+REGRESSORS, CLASSIFIERS = regressors(), classifiers()
+#: For recipes that refit every learner per fold or class.
+FEW_TREES = {"trees": 20, "rounds": 10}
+# Tuning ranges by model and parameter. Linear regressors have theirs in ``plans.linear``.
 REGRESSION_GRIDS = {
-    "random_forest": {"numTrees": [20, 50, 100], "maxDepth": [5, 8, 10], "minInstancesPerNode": [1, 2, 4]},
-    "gradient_boost": {"maxIter": [20, 50, 100], "stepSize": [0.01, 0.1, 0.2], "maxDepth": [3, 5, 7]},
-    "ridge": {"regParam": [0.1, 1.0, 10.0, 100.0]},
-    "lasso": {"regParam": [0.001, 0.01, 0.1, 1.0]},
-    "elastic_net": {"regParam": [0.01, 0.1, 1.0], "elasticNetParam": [0.1, 0.5, 0.7, 0.9]},
+    "random_forest": {"numTrees": [50, 100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 4]},
+    "gradient_boost": {"maxIter": [50, 100, 200], "stepSize": [0.01, 0.1, 0.2], "maxDepth": [3, 6, 9]},
 }
+# Fixed values; for the linear models ``C`` is the inverse of the penalty per row.
 CLASSIFICATION_GRIDS = {
-    "random_forest": {"numTrees": [20, 50, 100], "maxDepth": [5, 8, 10], "minInstancesPerNode": [1, 2, 4]},
-    "gradient_boost": {"maxIter": [20, 50], "stepSize": [0.01, 0.1, 0.2], "maxDepth": [3, 5]},
-    "logistic": {"regParam": [0.0, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 1.0]},
-    "linear_svm": {"regParam": [0.01, 0.1, 1.0]},
+    "random_forest": {"numTrees": [50, 100, 200], "maxDepth": [10, 20, 30], "balanced": [True, False]},
+    "gradient_boost": {"maxIter": [50, 100, 200], "stepSize": [0.01, 0.1, 0.2], "maxDepth": [3, 6, 9]},
+    "logistic": {"C": [0.1, 1.0, 10.0], "elasticNetParam": [0.0, 1.0]},
+    "linear_svm": {"C": [0.1, 1.0, 10.0]},
 }
 
 
@@ -98,32 +145,70 @@ def multiclass(estimator, classes: int):
     return estimator
 
 
-def param_grid(estimator, ranges: dict[str, list], sample: int | None = None, seed: int = SEED) -> list[dict]:
+def param_grid(ranges: dict[str, list], sample: int | None = None, seed: int = SEED) -> list[dict]:
     """Full grid, or a seeded sample of it for random search."""
-    builder = ParamGridBuilder()
-    for name, values in ranges.items():
-        builder = builder.addGrid(getattr(estimator, name), values)
-    grid = builder.build()
+    grid = [dict(zip(ranges, values, strict=True)) for values in product(*ranges.values())]
     return Random(seed).sample(grid, sample) if sample is not None and sample < len(grid) else grid
 
 
+def with_params(estimator, parameters: dict, rows: int):
+    """A copy with the parameters set. ``C`` is the inverse penalty on the sum over ``rows`` rows; ``balanced`` says
+    whether class weights count."""
+    out = estimator.copy()
+    for name, value in parameters.items():
+        if name == "C":
+            out = out.setRegParam(1.0 / (value * max(rows, 1)))
+        elif name == "balanced":
+            if not value:
+                out.clear(out.weightCol)
+        else:
+            out = out.copy({getattr(out, name): value})
+    return out
+
 
 def evaluator(task: str):
     return RegressionEvaluator(metricName="rmse") if task == "regression" else MulticlassClassificationEvaluator(metricName="accuracy")
 
 
-def tune(train: DataFrame, estimator, ranges: dict[str, list], task: str, folds: int = 5, sample: int | None = 20, fold_col: str | None = None):
-    """Cross-validated choice over the grid; returns (best model, table of mean metrics)."""
-    grid = param_grid(estimator, ranges, sample)
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator(task), numFolds=folds, parallelism=4, seed=SEED)
-    if fold_col:
-        cv = cv.setFoldCol(fold_col)
-    fitted = cv.fit(train)
-    rows = [
-        (json.dumps({p.name: v for p, v in g.items()}), float(m), float(s))
-        for g, m, s in zip(grid, fitted.avgMetrics, fitted.stdMetrics)
-    ]
-    return fitted.bestModel, train.sparkSession.createDataFrame(rows, "params string, cv_mean double, cv_std double")
+def tune(train: DataFrame, estimator, ranges: dict[str, list], task: str, fold: str, sample: int | None = 20):
+    """Cross-validated choice over the grid; returns (best model, table of mean metrics).
+
+    ``train`` is read once into storage; every candidate is fitted on the folds other than the held-out one,
+    four at a time. The best candidate (least rmse, or highest accuracy; the earlier one wins a tie) is fitted
+    on all rows.
+    """
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes = {r[0]: r[1] for r in train.groupBy(fold).count().collect()}  # one row per fold
+        grid = param_grid(ranges, sample)
+        total = sum(sizes.values())
+        jobs = [(g, k) for g in range(len(grid)) for k in sorted(sizes)]
+
+        def score(job: tuple[int, int]) -> float:
+            g, k = job
+            model = with_params(estimator, grid[g], total - sizes[k]).fit(train.filter(col(fold) != k))
+            return evaluator(task).evaluate(model.transform(train.filter(col(fold) == k)))
+
+        with ThreadPool(4) as pool:
+            scores = pool.map(inheritable_thread_target(score), jobs)
+        by = [[x for (g, _), x in zip(jobs, scores, strict=True) if g == i] for i in range(len(grid))]
+        means = [sum(x) / len(x) for x in by]
+        best = min(range(len(grid)), key=lambda i: means[i] if task == "regression" else -means[i])
+        rows = [(json.dumps(p), m, pstdev(x)) for p, m, x in zip(grid, means, by, strict=True)]
+        model = with_params(estimator, grid[best], total).fit(train)
+    finally:
+        train.unpersist()
+    return model, train.sparkSession.createDataFrame(rows, "params string, cv_mean double, cv_std double")
+
+
+def tune_classifier(train: DataFrame, name: str, fold: str, sample: int | None = 20):
+    """``tune`` for one of the classifiers, with class weights."""
+    return tune(class_weights(train), CLASSIFIERS[name](), CLASSIFICATION_GRIDS[name], "classification", fold, sample)
+
+
+def tune_regressor(train: DataFrame, name: str, fold: str, sample: int | None = 20):
+    """``tune`` for the forest or the boosted trees; the linear learners have ``linear.tuned``."""
+    return tune(train, REGRESSORS[name](), REGRESSION_GRIDS[name], "regression", fold, sample)
 
 
 def time_folds(df: DataFrame, date: str, folds: int) -> DataFrame:
@@ -190,6 +275,15 @@ def scored_columns(models: dict, data: DataFrame) -> DataFrame:
     return out
 
 
+def probability_columns(models: dict, data: DataFrame) -> DataFrame:
+    """Probabilities of class 1 side by side, ``pred_<name>``, without a join."""
+    out = data
+    for name, m in models.items():
+        kept = out.columns
+        out = m.transform(out).select(*kept, vector_to_array("probability")[1].alias(f"pred_{name}"))
+    return out
+
+
 def inverse_error_weights(scored: DataFrame, names: Sequence[str]) -> dict[str, float]:
     """1 / mean squared error, normalised, from one pass over scored rows."""
     row = scored.agg(*[F.avg(F.pow(col("label") - col(f"pred_{n}"), 2)).alias(n) for n in names]).first()
@@ -238,15 +332,15 @@ def soft_vote(models: dict, data: DataFrame, weights: dict[str, float]) -> DataF
     return out.withColumn("prediction", best.cast("double")).drop(*[f"prob_{n}" for n in models])
 
 
-def stack(train: DataFrame, key: str, factories: dict[str, Callable], meta, folds: int = 5) -> tuple[dict, object]:
-    """Meta-learner on out-of-fold predictions; the base models are then refitted on all
-    training rows. Returns (base models, meta model)."""
+def stack(train: DataFrame, key: str, factories: dict[str, Callable], meta, folds: int = 5, score: Callable = scored_columns) -> tuple[dict, object]:
+    """Meta-learner on out-of-fold predictions (``score`` makes its inputs); the base models are then refitted on
+    all training rows. Returns (base models, meta model)."""
     rows = train.withColumn("fold", fold_of(key, folds)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         parts = []
         for i in range(folds):
             fitted = {n: make().fit(rows.filter(col("fold") != i)) for n, make in factories.items()}
-            parts.append(scored_columns(fitted, rows.filter(col("fold") == i)))
+            parts.append(score(fitted, rows.filter(col("fold") == i)))
         held_out = parts[0]
         for p in parts[1:]:
             held_out = held_out.unionByName(p)

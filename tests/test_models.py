@@ -138,3 +138,25 @@ def test_forecast_methods_compose(spark):
     best = ts.best_methods(ts.backtest(series)).toPandas().set_index("series_id")["best_method"]
     for k, g in errors.groupby("series_id"):
         assert best[k] == g.sort_values("mape")["method"].iloc[0]
+
+
+@pytest.mark.parametrize("n", [0, 9, 30_000])
+def test_stratified_split_has_exact_quotas(spark, n):
+    rows = spark.range(n).select("id", F.when(col("id") % 10 == 0, 1.0).when(col("id") < 7, None).otherwise(0.0).alias("y"), F.lit("x").alias("__k"))
+    train, test = m.stratified_split(rows.withColumnRenamed("__k", "extra"), "id", "y")
+    sizes = {r.y: r[1] for r in rows.groupBy("y").count().collect() if r.y is not None}
+    got = {r.y: r[1] for r in test.groupBy("y").count().collect()}
+    assert {y: got.get(y, 0) for y in sizes} == {y: int(size * 0.2 + 0.5) for y, size in sizes.items()}
+    assert train.count() + test.count() == sum(sizes.values()) and train.join(test, "id").count() == 0
+    share = m.split_share(col("id"))
+    most = {r.y: r[1] for r in test.groupBy("y").agg(F.max(share)).collect()}
+    least = {r.y: r[1] for r in train.groupBy("y").agg(F.min(share)).collect()}
+    assert all(most[y] <= least[y] for y in most)
+
+
+def test_tuning_takes_the_best_candidate(spark, linear):
+    data = m.design(linear[0], ["a", "b"], "flag", ["id"]).withColumn("fold", m.fold_of("id", 3))
+    model, table = m.tune_classifier(data, "logistic", "fold", sample=3)
+    rows = table.collect()
+    assert len(rows) == 3 and max(r.cv_mean for r in rows) > 0.95
+    assert model.transform(data).filter("label <> prediction").count() < 20
