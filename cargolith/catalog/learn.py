@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -20,6 +21,7 @@ from cargolith.plans import features as f
 from cargolith.plans import linear as lin
 from cargolith.plans import models as m
 from cargolith.plans import scoring as sc
+from cargolith.plans import segments as seg
 from cargolith.plans import selection as sel
 from cargolith.session import scratch_path, stash
 from cargolith.sources.marts import invoices, shipments
@@ -344,31 +346,66 @@ def _rfm(s, d):
     return cust.rfm_scores(cust.rfm_base(invoices(s, d), b.as_of()))
 
 
-def _segmented(s, d):
-    """Customers with their cluster, and the model; the number of clusters is the one with the best silhouette."""
-    data = m.standardised(_rfm(s, d), m.RFM_FEATURES)
-    best = m.choose_k(data, 2, 10).orderBy(col("silhouette").desc(), "k").first()  # one row per k
-    model = m.cluster(data, best.k)
-    return model.transform(data), model
+def _points(s, d):
+    """Customers with their scaled features, written once."""
+    return stash(cust.standard_vector(_rfm(s, d), m.RFM_FEATURES).select("CustomerKey", "vector"), "points")
 
 
 def _kmeans(s, d):
-    return _segmented(s, d)[0].select("CustomerKey", col("prediction").alias("Segment_KMeans"))
+    """Customers with their cluster; the number of clusters is the one with the best silhouette."""
+    points = _points(s, d)
+    centres = seg.centres_for_all(points, "CustomerKey", "vector", range(2, 11))
+    best = seg.measures(points, "vector", centres).orderBy(col("silhouette").desc(), "k").first()  # one row per k
+    return points.select("CustomerKey", seg.nearest_centre("vector", centres[best.k]).alias("Segment_KMeans"))
 
 
-def _nearest_centre(s, d):
-    """Customers, and those of them that another centre is nearer to than their own."""
-    out, model = _segmented(s, d)
-    x = vector_to_array("features")
-    far = F.array(*[F.aggregate(F.zip_with(x, F.array(*[lit(float(v)) for v in c]), lambda a, v: (a - v) * (a - v)), lit(0.0), lambda a, v: a + v)
-                    for c in model.clusterCenters()])
-    wrong = far[col("prediction")] > F.array_min(far) + 1e-9
-    return out.agg(F.count(lit(1)).alias("customers"), F.count_if(wrong).alias("misplaced"))
+def _choice(s, d):
+    points = _points(s, d)
+    return tidy(seg.measures(points, "vector", seg.centres_for_all(points, "CustomerKey", "vector", range(2, 11))), inertia=3, calinski_harabasz=3)
 
 
-register("C01_kmeans_segments", _kmeans)
-register("C01b_nearest_centre", _nearest_centre, sql(f"{INV}, {RFM}", "SELECT count(*) AS customers, 0::BIGINT AS misplaced FROM rfm"))
-register("C02_choice_of_k", lambda s, d: tidy(m.choose_k(m.standardised(_rfm(s, d), m.RFM_FEATURES), 2, 10)))
+_Z = ", ".join(f"(coalesce({c}, 0) - avg(coalesce({c}, 0)::DOUBLE) OVER ()) / coalesce(nullif(stddev_pop(coalesce({c}, 0)::DOUBLE) OVER (), 0), 1) AS f{i}"
+               for i, c in enumerate(m.RFM_FEATURES))
+_N = len(m.RFM_FEATURES)
+_FAR = " + ".join(f"(z.f{i} - c.c{i}) * (z.f{i} - c.c{i})" for i in range(_N))
+_AXES = ", ".join(f"c{i}" for i in range(_N))
+# Lloyd's rounds in SQL: centres of all counts per round, then the last round's clusters.
+_LLOYD = f"""WITH RECURSIVE {INV},
+{SCORES},
+z0 AS (SELECT CustomerKey, {_Z} FROM scores),
+z AS (SELECT *, row_number() OVER (ORDER BY {" + ".join(f"f{i}" for i in range(_N))}, CustomerKey) - 1 AS r, count(*) OVER () AS n FROM z0),
+ks AS (SELECT k, unnest(range(k)) AS i FROM (SELECT unnest(range(2, 11)) AS k)),
+centre(t, k, i, {_AXES}) AS (SELECT 0, k, i, {", ".join(f"f{i}" for i in range(_N))} FROM ks JOIN z ON z.r = ((2 * i + 1) * n) // (2 * k)
+  UNION ALL SELECT t + 1, k, i, {", ".join(f"CASE WHEN rows_ > 0 THEN m{i} ELSE c{i} END" for i in range(_N))} FROM (
+    SELECT t, k, i, {_AXES}, count(*) FILTER (mine) AS rows_, {", ".join(f"avg(f{i}) FILTER (mine) AS m{i}" for i in range(_N))}
+    FROM (SELECT c.*, z.*, row_number() OVER (PARTITION BY c.k, z.CustomerKey ORDER BY {_FAR}, c.i) = 1 AS mine FROM centre c, z WHERE c.t < 20) GROUP BY ALL_KEYS)),
+own AS (SELECT k, i, CustomerKey, far, {", ".join(f"f{i}" for i in range(_N))} FROM (
+  SELECT c.k, c.i, z.*, {_FAR} AS far, row_number() OVER (PARTITION BY c.k, z.CustomerKey ORDER BY {_FAR}, c.i) = 1 AS mine FROM centre c, z WHERE c.t = 20) WHERE mine),
+total AS (SELECT k, i, count(*) AS n, sum(far) AS spread, sum({" + ".join(f"f{i} * f{i}" for i in range(_N))}) AS norm, {", ".join(f"sum(f{i}) AS s{i}" for i in range(_N))} FROM own GROUP BY k, i),
+dist AS (SELECT o.k, o.CustomerKey, o.i = t.i AS mine, {" + ".join(f"o.f{i} * o.f{i}" for i in range(_N))} + t.norm / t.n - 2 * ({" + ".join(f"o.f{i} * t.s{i}" for i in range(_N))}) / t.n AS d, t.n
+  FROM own o JOIN total t ON o.k = t.k),
+ab AS (SELECT k, CustomerKey, min(d) FILTER (NOT mine) AS b, max(d * n / greatest(n - 1, 1)) FILTER (mine) AS a, max(n) FILTER (mine) AS n FROM dist GROUP BY 1, 2),
+sil AS (SELECT k, sum(CASE WHEN n > 1 AND b IS NOT NULL AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END) / count(*) AS silhouette FROM ab GROUP BY k),
+ch AS (SELECT k, sum(spread) AS inertia, sum(n) AS n, sum(norm) - ({" + ".join(f"sum(s{i}) * sum(s{i})" for i in range(_N))}) / sum(n) AS all_ FROM total GROUP BY k),
+chosen AS (SELECT k, silhouette, (all_ - inertia) / (k - 1) / (inertia / (n - k)) AS calinski_harabasz, inertia FROM sil JOIN ch USING (k))""".replace(
+    "ALL_KEYS", f"t, k, i, {_AXES}")
+register("C01_kmeans_segments", _kmeans, f"""{_LLOYD}
+SELECT CustomerKey, i::INTEGER AS Segment_KMeans FROM own WHERE k = (SELECT k FROM chosen ORDER BY silhouette DESC, k LIMIT 1)""")
+register("C02_choice_of_k", _choice, f"""{_LLOYD}
+SELECT k::INTEGER AS k, round(silhouette, 4) AS silhouette, round(calinski_harabasz, 3) AS calinski_harabasz, round(inertia, 3) AS inertia FROM chosen""")
+
+
+def _misplaced(s, d):
+    """Customers, and those of them that another centre is nearer to than the mean of their own cluster."""
+    points = _points(s, d)
+    centres = seg.centres_for_all(points, "CustomerKey", "vector", [4])[4]
+    placed = points.withColumn("own", seg.nearest_centre("vector", centres))
+    means = {r.own: r.mean for r in placed.groupBy("own").agg(F.array(*[F.avg(col("vector")[i]) for i in range(_N)]).alias("mean")).collect()}
+    again = seg.nearest_centre("vector", np.array([means[i] for i in sorted(means)]))
+    return placed.agg(F.count(lit(1)).alias("customers"), F.count_if(again != col("own")).alias("misplaced"))
+
+
+register("C01b_nearest_centre", _misplaced, sql(f"{INV}, {RFM}", "SELECT count(*) AS customers, 0::BIGINT AS misplaced FROM rfm"))
 
 
 def _density(s, d):
@@ -377,8 +414,6 @@ def _density(s, d):
     return density_clusters(points, "CustomerKey", "vector", len(m.RFM_FEATURES)).withColumnRenamed("cluster", "Segment_DBSCAN")
 
 
-_Z = ", ".join(f"(coalesce({c}, 0) - avg(coalesce({c}, 0)::DOUBLE) OVER ()) / coalesce(nullif(stddev_pop(coalesce({c}, 0)::DOUBLE) OVER (), 0), 1) AS f{i}"
-               for i, c in enumerate(m.RFM_FEATURES))
 _DBSCAN = f"""WITH RECURSIVE {INV},
 {SCORES},
 z AS (SELECT CustomerKey, {_Z} FROM scores),

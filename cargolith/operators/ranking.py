@@ -84,10 +84,10 @@ def value_counts(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFra
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def average_ranks(df: DataFrame, value: str, keys: Sequence[str] = (), descending: bool = False) -> DataFrame:
+def average_ranks(df: DataFrame, value: str, keys: Sequence[str] = (), descending: bool = False, few_keys: bool = False) -> DataFrame:
     """One row per distinct value: ``cnt``, ``avg_rank`` (ties share the mean) and ``n``."""
     order = F.col(value).desc() if descending else F.col(value).asc()
-    ranked = running_sums(value_counts(df, value, keys), [order], ["cnt"], keys)
+    ranked = running_sums(value_counts(df, value, keys), [order], ["cnt"], keys, few_keys)
     return ranked.select(
         *keys,
         value,
@@ -98,18 +98,23 @@ def average_ranks(df: DataFrame, value: str, keys: Sequence[str] = (), descendin
 
 
 def percent_rank_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Adds average-tie percent ranks, ``{source: new name}``, joined back on the value."""
+    """Adds average-tie percent ranks (as doubles), ``{source: new name}``, joined back on the value.
+
+    All columns share one count of (column, value), one range partitioning and one checkpoint. Equal values are
+    one row by then, so that a column with few values joins back by broadcast.
+    """
+    ranks = average_ranks(long_form(df, list(columns)), "value", ["column"], few_keys=True)
     out = df
     for source, name in columns.items():
-        ranks = average_ranks(df.select(source), source).select(source, (F.col("avg_rank") / F.col("n")).alias(name))
-        out = out.join(ranks, source, "left")
+        own = ranks.filter(F.col("column") == source).select(F.col("value").alias("__value"), (F.col("avg_rank") / F.col("n")).alias(name))
+        out = out.join(own, F.col(source).cast("double") == F.col("__value"), "left").drop("__value")
     return out
 
 
 def _near_targets(
-    df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str], few_keys: bool, accuracy: int = 10000
+    df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str], few_keys: bool, accuracy: int = 10000, tie: str | None = None
 ) -> DataFrame:
-    """Running counts that are exact around the asked-for positions.
+    """Running counts that are exact around the asked-for positions; ``tie`` orders rows of one value.
 
     A first mergeable pass brackets each position between two approximate percentiles
     (their rank error is bounded by 1/accuracy; the bracket is wider than that). A second
@@ -118,7 +123,8 @@ def _near_targets(
     """
     margin = 4.0 / accuracy
     lows, highs = [max(0.0, p - margin) for p in probs], [min(1.0, p + margin) for p in probs]
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
+    ties = [tie] if tie else []
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, value, *ties)
     x = F.col(value)
 
     def marks(points: list[float], name: str) -> Column:
@@ -126,12 +132,7 @@ def _near_targets(
 
     def passed(name: str, test) -> Column:
         """How many marks the value has passed."""
-        if len(probs) > 16:
-            return F.size(F.filter(name, test))
-        out = F.lit(0)
-        for i in range(len(probs)):
-            out = out + test(F.col(name)[i]).cast("int")
-        return out
+        return F.size(F.filter(name, test))
 
     ends = rows.groupBy(*keys).agg(marks(lows, "__lo"), marks(highs, "__hi"), F.count(F.lit(1)).alias("__n"))
     if few_keys or not keys:
@@ -141,11 +142,37 @@ def _near_targets(
     # Both counts grow with the value, so their sum orders gaps and brackets. A group
     # of at most ``accuracy`` rows is kept whole.
     small = F.col("__n") <= accuracy
+    kept = small | (entered > left)
     slots = joined.select(
-        *keys, F.when(small, 0).otherwise(entered + left).alias("__slot"), F.when(small | (entered > left), x).alias(value)
+        *keys, F.when(small, 0).otherwise(entered + left).alias("__slot"), *[F.when(kept, F.col(c)).alias(c) for c in (value, *ties)]
     )
-    counts = slots.groupBy(*keys, "__slot", value).agg(F.count(F.lit(1)).alias("cnt"))
-    return running_sums(counts, ["__slot", value], ["cnt"], keys, few_keys)
+    counts = slots.groupBy(*keys, "__slot", value, *ties).agg(F.count(F.lit(1)).alias("cnt"))
+    return running_sums(counts, ["__slot", value, *ties], ["cnt"], keys, few_keys)
+
+
+def quintile_cuts(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """One row: per column the array ``cuts_<column>`` of the last (value, key) of the first four fifths.
+
+    Rows are in the order of value, then ``key`` (unique whole numbers), and fifths are those of positions 1 to n
+    at equal distances. Only rows about the four cuts are ordered, all columns in one run.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
+    rows = df.select(F.col(key).cast("long").alias("key"), pairs.alias("p")).select("p.column", "p.value", "key")
+    counted = _near_targets(rows, "value", [0.2, 0.4, 0.6, 0.8], ["column"], True, tie="key")
+    picks = []
+    for c in columns:
+        at = [F.floor(1 + (F.col("total_cnt") - 1) * q / 5) for q in range(1, 5)]
+        found = [
+            F.max(F.when((F.col("column") == c) & (F.col("cum_cnt") - F.col("cnt") < r) & (r <= F.col("cum_cnt")), F.struct("value", "key"))) for r in at
+        ]
+        picks.append(F.array(*found).alias(f"cuts_{c}"))
+    return counted.agg(*picks)
+
+
+def quintile(column: str, key: str) -> Column:
+    """1 to 5 from the cuts of :func:`quintile_cuts`."""
+    own = F.struct(F.col(column).cast("double").alias("value"), F.col(key).cast("long").alias("key"))
+    return (F.size(F.filter(f"cuts_{column}", lambda cut: cut < own)) + 1).cast("int")
 
 
 def quantiles(

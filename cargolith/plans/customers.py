@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolith.functions.bins import quintile_of_rank, risk_band
+from cargolith.functions.bins import risk_band
 from cargolith.functions.dates import floor_days
 from cargolith.functions.measures import clamp, rule_segment
-from cargolith.operators.ranking import average_ranks, quantiles, row_numbers
+from cargolith.operators.ranking import average_ranks, quantiles, quintile, quintile_cuts
 from cargolith.operators.stats import attach
 from cargolith.plans.kpis import known, net, rows, zero_sum
-from cargolith.session import tiny
+from cargolith.session import stash, tiny
 
 
 def rfm_base(invoices: DataFrame, as_of: Column) -> DataFrame:
@@ -37,20 +37,17 @@ def rfm_base(invoices: DataFrame, as_of: Column) -> DataFrame:
 
 
 def rfm_scores(base: DataFrame) -> DataFrame:
-    """Quintile scores by first-come ranks (ties by key); recency counts backwards."""
-    out = base
-    for source, score in {"Recency": "R_score", "Frequency": "F_score", "Monetary": "M_score"}.items():
-        out = row_numbers(out, [source, "CustomerKey"], f"__{score}")
-    out = attach(out, out.agg(rows().alias("__n")))
-    n = F.col("__n")
-    out = (
-        out.withColumn("R_score", 6 - quintile_of_rank(F.col("__R_score"), n))
-        .withColumn("F_score", quintile_of_rank(F.col("__F_score"), n))
-        .withColumn("M_score", quintile_of_rank(F.col("__M_score"), n))
-    )
-    return out.drop("__R_score", "__F_score", "__M_score", "__n").withColumn(
-        "CustomerValue", F.col("F_score") * F.col("M_score") * F.col("PaymentRate")
-    )
+    """Quintile scores by first-come ranks (ties by key); recency counts backwards.
+
+    The customers are written once; the cuts come from a narrow run over the three measures, and each score is a
+    comparison with its cuts.
+    """
+    measures = ["Recency", "Frequency", "Monetary"]
+    held = stash(base, "rfm")
+    out = attach(held, quintile_cuts(held, measures, "CustomerKey"))
+    out = out.withColumns({
+        "R_score": 6 - quintile("Recency", "CustomerKey"), "F_score": quintile("Frequency", "CustomerKey"), "M_score": quintile("Monetary", "CustomerKey")})
+    return out.drop(*[f"cuts_{c}" for c in measures]).withColumn("CustomerValue", F.col("F_score") * F.col("M_score") * F.col("PaymentRate"))
 
 
 def segments(scores: DataFrame) -> DataFrame:
@@ -59,9 +56,10 @@ def segments(scores: DataFrame) -> DataFrame:
 
 def segment_profile(segmented: DataFrame) -> DataFrame:
     """Size, means and counts above the segment's own marks."""
-    marks = quantiles(segmented, "Monetary", {"p80": 0.8}, ["Segment"]).join(
-        quantiles(segmented, "Frequency", {"p50": 0.5}, ["Segment"]), "Segment"
-    )
+    both = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in ("Monetary", "Frequency")]))
+    each = quantiles(segmented.select("Segment", both), "value", {"p50": 0.5, "p80": 0.8}, ["Segment", "column"], few_keys=True)
+    marks = each.groupBy("Segment").agg(
+        F.max(F.when(F.col("column") == "Monetary", F.col("p80"))).alias("p80"), F.max(F.when(F.col("column") == "Frequency", F.col("p50"))).alias("p50"))
     # At most six rule labels, so the marks are broadcast and the profile is one pass.
     marked = segmented.join(tiny(marks), "Segment")
 
@@ -86,7 +84,7 @@ def segment_profile(segmented: DataFrame) -> DataFrame:
 def box_plot(segmented: DataFrame) -> DataFrame:
     """Five-number summary of spending per segment."""
     marks = {"Low": 0.0, "Q1": 0.25, "Median": 0.5, "Q3": 0.75, "High": 1.0}
-    return quantiles(segmented, "Monetary", marks, ["Segment"])
+    return quantiles(segmented, "Monetary", marks, ["Segment"], few_keys=True)
 
 
 def profitability(invoices: DataFrame, cost_ratio: float = 0.7) -> DataFrame:

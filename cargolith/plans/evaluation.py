@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from cargolith.functions import statistics as st
 from cargolith.operators.ranking import percent_rank_columns, quantile_rows, quantiles, running_sums
 from cargolith.operators.stats import attach, histogram
+from cargolith.session import tiny
 
 col, lit, when = F.col, F.lit, F.when
 
 
 def regression_metrics(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """All error measures in one pass, plus the exact median of absolute errors."""
+    """All error measures in one pass, plus the exact median of absolute errors. ``keys`` are few (models, folds)."""
     keys = list(keys)
     e = col("y") - col("p")
     rows = df.withColumn("__abs", F.abs(e))
@@ -30,8 +31,8 @@ def regression_metrics(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.avg(e).alias("residual_mean"),
         F.stddev_pop(e).alias("residual_std"),
     )
-    median = quantiles(rows, "__abs", {"median_ae": 0.5}, keys)
-    return basic.join(median, keys) if keys else attach(basic, median)
+    median = quantiles(rows, "__abs", {"median_ae": 0.5}, keys, few_keys=True)
+    return basic.join(tiny(median), keys) if keys else attach(basic, median)
 
 
 def residual_normality(df: DataFrame) -> DataFrame:
