@@ -2,11 +2,11 @@
 
 Texts are tokenized where they are read; only piece lengths matter afterwards. Their histogram has at most
 ``capacity`` entries whatever the input. The program, least total of configurations (multisets of lengths
-within the capacity) that cover the histogram, is solved by multiplicative weights: an unbounded knapsack by
-dynamic programming prices the best configuration under the present weights, the configuration is taken in
-a small step, and the weights of what it covers fall. The result is scaled to cover no length twice and
-rounded down; what is left, a few pieces per configuration, is packed largest first, each gap by the largest
-piece that fits. Pieces find their place by arithmetic on their rank among pieces of their length.
+within the capacity) that cover the histogram, is solved by multiplicative weights: a knapsack by dynamic
+programming prices all configurations under the present weights, those near the best value are taken in a
+small step, and the weights of what they cover fall. Its solution is rounded down at several shares of itself;
+what a rounding leaves is packed largest first, each gap by the largest piece that fits, and the rounding with
+the fewest sequences counts. Pieces find their place by arithmetic on their rank among pieces of their length.
 """
 
 from __future__ import annotations
@@ -22,80 +22,82 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cargolith.llm.common import like, stash
-from cargolith.llm.tokens import library_table, spaced_pieces, text_batches
+from cargolith.llm.tokens import byte_coder, text_batches
 
-ROUNDS = 600
-#: By how much the weight of a fully covered length falls.
-RATE = 6.0
-#: Of each length the program covers about so much; best fit needs some of all lengths to close the gaps it leaves.
-SHARE = 0.9
+#: Rounds at most; how much of a length's need one round covers at most; how fast a covered length's weight falls;
+#: how near to the best value a configuration must come to be taken.
+ROUNDS, STEP, RATE, NEAR = 300, 0.3, 3.0, 0.005
+#: Shares of the program's solution that rounding tries; what a share leaves goes to best fit.
+SHARES = (1.0, 0.9, 0.8, 0.65, 0.5, 0.35, 0.2, 0.1)
 
 
-def _best(values: np.ndarray, capacity: int) -> np.ndarray | None:
-    """Counts per length of the most valuable multiset that fills ``capacity`` to the brim; index 0 is length 1.
+def _knapsack(values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best value of any multiset of lengths within 0, 1, ... ``capacity`` (room may stay), and the length it takes last.
 
-    Lengths of value -inf are not on offer; None if those on offer cannot fill it.
+    ``values`` is -inf for lengths not on offer (index 0 is length 1); 0 stands for no length.
     """
-    best = np.full(capacity + 1, -np.inf)
-    best[0] = 0.0
-    pick = np.zeros(capacity + 1, np.int64)
+    best, last = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    offered = np.flatnonzero(values > -np.inf)
     for c in range(1, capacity + 1):
-        offer = best[c - 1 :: -1] + values[:c]
-        pick[c] = offer.argmax()
-        best[c] = offer[pick[c]]
-    if best[capacity] == -np.inf:
-        return None
-    out = np.zeros(capacity, np.int64)
-    c = capacity
-    while c > 0:
-        out[pick[c]] += 1
-        c -= pick[c] + 1
+        best[c] = best[c - 1]
+        fits = offered[: np.searchsorted(offered, c)]
+        if len(fits):
+            gain = best[c - 1 - fits] + values[fits]
+            top = int(gain.argmax())
+            if gain[top] > best[c]:
+                best[c], last[c] = gain[top], fits[top] + 1
+    return best, last
+
+
+def _filled(last: np.ndarray, room: int) -> list[int]:
+    """Lengths of the best multiset within ``room``."""
+    out = []
+    while room > 0:
+        if last[room]:
+            out.append(int(last[room]))
+            room -= out[-1]
+        else:
+            room -= 1
     return out
 
 
-def plan(histogram: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[np.ndarray, int]]:
-    """(counts per length, times used) that cover ``histogram`` (index 0 is length 1) exactly.
+def fractional(histogram: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
+    """Configurations (lengths, falling) and how often each is used: a fractional cover of ``histogram``.
 
-    Rounding can cost more sequences than best fit over all lengths needs; the plan with fewer is returned.
+    Multiplicative weights: a length's weight starts at its share of the capacity and falls by exp(-RATE) on
+    the way to full cover. One knapsack prices all configurations; those that start with any length and come
+    within NEAR of the best value are taken together, each in a step that no length covers more than STEP in.
     """
-    if rounds:
-        both = [_covering(histogram, capacity, r) for r in (rounds, 0)]
-        return min(both, key=lambda chosen: sum(n for _, n in chosen))
-    return _covering(histogram, capacity, 0)
-
-
-def _covering(histogram: np.ndarray, capacity: int, rounds: int) -> list[tuple[np.ndarray, int]]:
-    """The program's configurations (none for ``rounds`` 0), and best fit for what they leave."""
-    left = histogram.astype(np.int64).copy()
-    chosen: list[tuple[np.ndarray, int]] = []
-    if left[capacity - 1]:
-        full = np.zeros(capacity, np.int64)
-        full[-1] = 1
-        chosen.append((full, int(left[capacity - 1])))
-        left[capacity - 1] = 0
-    open_ = left > 0
+    need = histogram.astype(float)
+    covered, use = np.zeros(capacity), {}
     sizes = np.arange(1, capacity + 1)
-    if int(left.sum()) > capacity:
-        need = np.where(open_, left, 1).astype(float)
-        covered = np.zeros(capacity)
-        use: dict[bytes, list] = {}
-        for _ in range(rounds):
-            # Dual prices start at each length's share of the capacity and fall as it gets covered.
-            values = np.where(open_ & (covered < SHARE), sizes / capacity * np.exp(-RATE * covered), -np.inf)
-            counts = _best(values, capacity)
-            if counts is None:
-                break
-            hit = counts > 0
-            step = float(np.maximum(1.0, (need[hit] / counts[hit]).min() * 0.5))
-            entry = use.setdefault(counts.tobytes(), [counts, 0.0])
-            entry[1] += step
-            covered[hit] += counts[hit] * step / need[hit]
-        for counts, x in sorted(use.values(), key=lambda e: -e[1]):
-            hit = counts > 0
-            times = int(min(np.floor(x), (left[hit] // counts[hit]).min()))
-            if times > 0:
-                chosen.append((counts, times))
-                left -= counts * times
+    for _ in range(rounds):
+        open_ = (need > 0) & (covered < 1)
+        if not open_.any():
+            break
+        values = np.where(open_, sizes / capacity * np.exp(-RATE * covered), -np.inf)
+        best, last = _knapsack(values, capacity)
+        heads = np.flatnonzero(open_)
+        worth = values[heads] + best[capacity - 1 - heads]
+        taken = []
+        for k in heads[worth >= (1 - NEAR) * worth.max()]:
+            config = tuple(sorted([int(k) + 1, *_filled(last, capacity - 1 - int(k))], reverse=True))
+            lengths, each = np.unique(np.array(config) - 1, return_counts=True)
+            taken.append((config, lengths, each, float((need[lengths] / each).min())))
+        unique = {t[0]: t for t in taken}.values()
+        load = np.zeros(capacity)
+        for _, lengths, each, most in unique:
+            load[lengths] += each * most / need[lengths]
+        for config, lengths, each, most in unique:
+            step = STEP * most / load[lengths].max()
+            use[config] = use.get(config, 0.0) + step
+            covered[lengths] += each * step / need[lengths]
+    return use
+
+
+def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """Largest first, each gap by the largest piece that fits; equal sequences together."""
+    left, chosen = left.copy(), []
     while left.any():
         counts, room = np.zeros(capacity, np.int64), capacity
         while True:
@@ -111,6 +113,31 @@ def _covering(histogram: np.ndarray, capacity: int, rounds: int) -> list[tuple[n
     return chosen
 
 
+def _rounded(use: dict[tuple[int, ...], float], histogram: np.ndarray, capacity: int, share: float) -> list[tuple[np.ndarray, int]]:
+    """Whole times of a share of each configuration, most used first, and best fit for the pieces left."""
+    left, chosen = histogram.astype(np.int64).copy(), []
+    for config, x in sorted(use.items(), key=lambda e: (-e[1], e[0])):
+        if x * share < 1 - 1e-9:
+            break
+        counts = np.bincount(np.array(config) - 1, minlength=capacity)
+        hit = counts > 0
+        times = int(min(np.floor(x * share + 1e-9), (left[hit] // counts[hit]).min()))
+        if times > 0:
+            chosen.append((counts, times))
+            left -= counts * times
+    return chosen + _best_fit(left, capacity)
+
+
+def plan(histogram: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """(counts per length, times used) that cover ``histogram`` (index 0 is length 1) exactly.
+
+    The program's solution is rounded down at several shares of itself, and the rounding with the fewest
+    sequences is returned; the larger share wins a tie.
+    """
+    use = fractional(histogram, capacity)
+    return min((_rounded(use, histogram, capacity, share) for share in SHARES), key=lambda chosen: sum(n for _, n in chosen))
+
+
 def _slots(chosen: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, ...]:
     """Per length and configuration, in order: length, first rank, pieces per sequence, first sequence, offset."""
     rows, ranks, base = [], {}, 0
@@ -132,12 +159,12 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        table, task, seen = library_table(path, True), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        encode, task, seen = byte_coder(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = batch.column("doc_id").to_pylist()
             for i, j in text_batches(texts):
-                flat, starts = table.batch(texts[i:j], spaced_pieces)
+                flat, starts = encode(texts[i:j])
                 rows = []
                 for k in range(i, j):
                     own = np.append(flat[starts[k - i] : starts[k - i + 1]], end_id).astype("<u4")

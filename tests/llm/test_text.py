@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 
-from cargolith.llm import bpe, chat, idfiles, packing, personal, quality
+from cargolith.llm import bpe, chat, idfiles, packing, personal, quality, tokens
 from cargolith.session import scratch_path
 
 TEXTS = [None, "", " ", "a", "  a\n\n b", "\tx y ", "é\x85 q\x1cz \0 b", "'re it's 12ab  \n  c　d ", "a\n b", "<|endoftext|> x", "x" * 300,
@@ -143,3 +143,50 @@ def test_conversations_read_back(spark):
     for w in chat.windows(df).collect():
         assert w.n_new == 1 or chat.count_tokens(w.text) <= chat.BUDGET
     assert chat.formatted(df.limit(0)).count() == 0
+
+
+def best_fit_sequences(h, capacity):
+    return sum(n for _, n in packing._best_fit(h, capacity))
+
+
+@pytest.mark.parametrize("lengths,times,most", [((300, 350, 370), 1000, 1000), ((600, 424), 500, 500), ((513,), 7, 7), ((1024,), 3, 3), ((1,), 2000, 2)])
+def test_program_finds_the_configurations(lengths, times, most):
+    h = np.zeros(1024, np.int64)
+    h[np.array(lengths) - 1] = times
+    use = packing.fractional(h, 1024)
+    cover = np.zeros(1024)
+    for config, x in use.items():
+        assert sum(config) <= 1024
+        np.add.at(cover, np.array(config) - 1, x)
+    assert (cover[h > 0] >= h[h > 0] - 1e-6).all()
+    assert sum(n for _, n in packing.plan(h, 1024)) == most
+
+
+@pytest.mark.parametrize("seed,n", [(0, 40), (1, 300), (2, 4000)])
+def test_plan_needs_no_more_than_best_fit(seed, n):
+    h = np.bincount(np.random.default_rng(seed).integers(0, 200, n), minlength=200)
+    chosen = packing.plan(h, 200)
+    assert (sum(counts * times for counts, times in chosen) == h).all()
+    assert all((np.arange(1, 201) * counts).sum() <= 200 for counts, _ in chosen)
+    assert sum(times for _, times in chosen) <= best_fit_sequences(h, 200)
+
+
+def test_byte_coder_gives_the_ids_of_the_library(docs, monkeypatch):
+    """Whole texts, special strings, white space of all kinds, and texts cut into parts."""
+    from tokenizers import Tokenizer
+
+    path = str(P.path("byte_bpe_50k.json"))
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    texts = [r.text or "" for r in docs.collect()]
+    texts += ["<|endoftext|> a", "", " ", "\n\n a  b\t c \x85\xa0d  ", "it's  we'LL 12 345½ x²", "日本 語  、", "a\x1c b  c", "ab" * 4000, "  " * 300 + "x", "é ퟿ \U0001f600 ok"]
+    for size in (tokens.CHUNK, 7):
+        monkeypatch.setattr(tokens, "CHUNK", size)
+        flat, starts = tokens.byte_coder(path)(texts)
+        want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [flat[a:b].tolist() for a, b in zip(starts, starts[1:])] == want
+
+
+def test_only_plain_byte_level_files_take_the_short_way():
+    assert tokens.byte_ranks(str(P.path("word_bpe_49k.json"))) is None
+    assert len(tokens.byte_ranks(str(P.path("byte_bpe_50k.json")))) == 50_256
