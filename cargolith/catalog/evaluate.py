@@ -179,6 +179,22 @@ register("G18_qq_points", lambda s, d: tidy(ev.qq_points(one_model(s, d)), 4),
     f"""SELECT round(probability, 4) AS probability, round(theoretical, 4) AS theoretical, round(qs[CAST(round(probability * 100) AS INTEGER)], 4) AS observed
 FROM (VALUES {_QQ}) v(probability, theoretical), q"""))
 
+
+
+def _poly(coefficients, x):
+    out = repr(coefficients[0])
+    for c in coefficients[1:]:
+        out = f"({out} * {x} + ({c!r}::DOUBLE))"
+    return out
+
+
+_TAILS = [f"{_poly(st._TAIL_NUMERATOR, r)} / {_poly(st._TAIL_DENOMINATOR, r)}" for r in ("sqrt(-2 * ln(p))", "sqrt(-2 * ln(1 - p))")]
+register("G18b_qq_exact", lambda s, d: tidy(ev.qq_exact(predictions(s, d).filter("model = 'list_price'").withColumn("k", col("y")), "k").select("position", "theoretical", "observed"), 4),
+    sql(f"""{PRED}, r AS (SELECT y - p AS e, row_number() OVER (ORDER BY y - p) AS i, count(*) OVER () AS n FROM pred WHERE model = 'list_price'),
+v AS (SELECT *, CASE WHEN i = n THEN pow(0.5::DOUBLE, 1.0::DOUBLE / n) WHEN i = 1 THEN 1 - pow(0.5::DOUBLE, 1.0::DOUBLE / n) ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p FROM r)""", f"""
+SELECT i AS position, round(CASE WHEN p < 0.02425 THEN {_TAILS[0]} WHEN p > 1 - 0.02425 THEN -({_TAILS[1]})
+  ELSE {_poly(st._NUMERATOR, "((p - 0.5) * (p - 0.5))")} * (p - 0.5) / {_poly(st._DENOMINATOR, "((p - 0.5) * (p - 0.5))")} END, 4) AS theoretical, round(e, 4) AS observed FROM v"""))
+
 # ---- drift: first half of the month against the second
 COLS = ["value", "user_id"]
 CUT = "2024-01-16"

@@ -66,7 +66,21 @@ register("T07_trend", lambda s, d: tidy(t.trend(series(s, d), with_p=False).sele
 SELECT series_id, round(regr_slope(y, i), 6) AS slope, round(regr_intercept(y, i), 6) AS intercept, round(regr_r2(y, i), 6) AS r_squared, count(*) AS n,
   CASE WHEN abs(regr_slope(y, i)) < 0.01 THEN 'stationary' WHEN regr_slope(y, i) > 0 THEN 'increasing' ELSE 'decreasing' END AS trend_type,
   round(sqrt(regr_r2(y, i) * (count(*) - 2) / (1 - regr_r2(y, i))), 6) AS t_statistic FROM num GROUP BY 1"""))
-register("T07b_trend_significance", lambda s, d: tidy(t.trend(freight_series(s, d)).select("series_id", "p_value", "is_significant"), 6))
+# Student's tail by the continued fraction of the incomplete beta function.
+_P = """fit AS (SELECT series_id, regr_r2(y, i) AS r2, count(*) - 2 AS df FROM num GROUP BY 1),
+arg AS (SELECT *, df / 2.0::DOUBLE AS a, df / (df + r2 * df / (1 - r2)) AS x FROM fit),
+side AS (SELECT *, x < (a + 1) / (a + 2.5) AS direct, exp(lgamma(a + 0.5) - lgamma(a) - ln(pi()) / 2 + a * ln(x) + 0.5 * ln(1 - x)) AS front FROM arg),
+swap AS (SELECT *, CASE WHEN direct THEN a ELSE 0.5 END AS p, CASE WHEN direct THEN 0.5 ELSE a END AS q, CASE WHEN direct THEN x ELSE 1 - x END AS z FROM side),
+lentz(series_id, k, c, d, h) AS (SELECT series_id, 1, 1.0::DOUBLE, 1 / (1 - (p + q) * z / (p + 1)), 1 / (1 - (p + q) * z / (p + 1)) FROM swap
+  UNION ALL SELECT series_id, k, c, d, h * c * d FROM (
+    SELECT series_id, k + 1 AS k, h, 1 / (1 + top * d) AS d, 1 + top / c AS c FROM (
+      SELECT l.*, (l.k + 1) // 2 AS m, CASE WHEN (l.k + 1) % 2 = 0 THEN ((l.k + 1) // 2) * (q - (l.k + 1) // 2) * z / ((p + 2 * ((l.k + 1) // 2) - 1) * (p + 2 * ((l.k + 1) // 2)))
+        ELSE -(p + (l.k + 1) // 2) * (p + q + (l.k + 1) // 2) * z / ((p + 2 * ((l.k + 1) // 2)) * (p + 2 * ((l.k + 1) // 2) + 1)) END AS top
+      FROM lentz l JOIN swap USING (series_id) WHERE l.k < 401)))"""
+register("T07b_trend_significance", lambda s, d: tidy(t.trend(freight_series(s, d)).select("series_id", "p_value", "is_significant"), 6),
+    f"""WITH RECURSIVE {FREIGHT}, num AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) - 1 AS i FROM series), {_P}
+SELECT series_id, round(v, 6) AS p_value, v < 0.05 AS is_significant FROM (
+  SELECT series_id, CASE WHEN direct THEN front * h / p ELSE 1 - front * h / p END AS v FROM swap JOIN lentz USING (series_id) WHERE k = 401)""")
 register("T08_comprehensive_forecast", lambda s, d: tidy(t.comprehensive_forecast(freight_series(s, d), H)))
 register("T09_backtest", lambda s, d: tidy(t.best_methods(t.backtest(freight_series(s, d)))))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cargolith.functions import statistics as st
-from cargolith.operators.ranking import percent_rank_columns, quantile_rows, quantiles, running_sums
+from cargolith.operators.ranking import percent_rank_columns, quantile_rows, quantiles, row_numbers, running_sums
 from cargolith.operators.stats import attach, histogram
 from cargolith.session import tiny
 
@@ -180,6 +180,20 @@ def qq_points(df: DataFrame, grid: int = 99) -> DataFrame:
     return theory.join(found, "probability").select("probability", "theoretical", col("quantile").alias("observed"))
 
 
+def qq_exact(df: DataFrame, key: str) -> DataFrame:
+    """Normal Q-Q points of all residuals, one per row: position, theoretical and observed quantile.
+
+    Positions follow the order of the residual, then ``key``; probabilities are the medians of uniform order
+    statistics (Filliben).
+    """
+    rows = df.select((col("y") - col("p")).alias("observed"), key).filter(col("observed").isNotNull())
+    placed = attach(row_numbers(rows, ["observed", key], "position"), rows.agg(F.count(lit(1)).alias("__n")))
+    n, i = col("__n"), col("position")
+    last = F.pow(lit(0.5), 1 / n)
+    p = when(i == n, last).when(i == 1, 1 - last).otherwise((i - 0.3175) / (n + 0.365))
+    return placed.select("position", st.normal_quantile(p).alias("theoretical"), "observed")
+
+
 def quality_bands(metrics: DataFrame, minimum_r2: float = 0.45, maximum_mape: float = 35.0) -> DataFrame:
     """Words for the level of r2 and whether it meets the configured minima."""
     band = when(col("r2") > 0.8, "excellent").when(col("r2") > 0.6, "good").otherwise("low")
