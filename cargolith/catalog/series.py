@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from cargolith.catalog import sqlseries as sq
 from cargolith.catalog.evaluate import SERIES, series
 from cargolith.catalog.registry import register, tidy
 from cargolith.catalog.sqlbase import INV, SHIP, season, sql
@@ -34,15 +35,19 @@ register("L04_dated_order", lambda s, d: tidy(t.numbered(series(s, d)).select("s
 register("L06_last_week", lambda s, d: t.last_rows(freight_series(s, d)).select("series_id", "place", "ds", "y"),
     sql(FREIGHT, """SELECT series_id, CAST(7 - r AS INTEGER) AS place, ds, y FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS r FROM series)
 WHERE r <= 7"""))
-register("T02_smoothing", lambda s, d: tidy(t.smoothing_forecast(freight_series(s, d), H)))
-register("T03_autoregression", lambda s, d: tidy(t.autoregressive_forecast(freight_series(s, d), H)))
+_ROUND = "SELECT series_id, method, ds, round(yhat, 4) AS yhat FROM"
+register("T02_smoothing", lambda s, d: tidy(t.smoothing_forecast(freight_series(s, d), H)),
+    f"WITH RECURSIVE {FREIGHT},\n{sq.smoothing('series', H)}\n{_ROUND} smooth")
+register("T03_autoregression", lambda s, d: tidy(t.autoregressive_forecast(freight_series(s, d), H)),
+    f"WITH RECURSIVE {FREIGHT},\n{sq.autoregression('series', H)}\n{_ROUND} auto")
 register("T04_naive_forecast", lambda s, d: tidy(t.naive_forecast(series(s, d), H)),
     sql(f"""{SERIES}, w AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS r, count(*) OVER (PARTITION BY series_id) AS n,
   avg(y) OVER (PARTITION BY series_id) AS m, max(ds) OVER (PARTITION BY series_id) AS last FROM series),
 st AS (SELECT DISTINCT series_id, n, m, last, CAST(unnest(range(1, {H + 1})) AS INTEGER) AS step FROM (SELECT DISTINCT series_id, n, m, last FROM w))""",
     """SELECT st.series_id, CASE WHEN st.n >= 7 THEN 'seasonal_naive' ELSE 'mean' END AS method, st.last + step AS ds,
   round(CASE WHEN st.n >= 7 THEN y ELSE st.m END, 4) AS yhat FROM st LEFT JOIN w ON st.series_id = w.series_id AND w.r <= 7 AND 7 - w.r = (step - 1) % 7"""))
-register("T05_ensemble", lambda s, d: tidy(t.ensemble_forecast(freight_series(s, d), H)))
+register("T05_ensemble", lambda s, d: tidy(t.ensemble_forecast(freight_series(s, d), H)),
+    f"WITH RECURSIVE {FREIGHT},\n{sq.both('series', H)}\n{_ROUND} ens")
 register("T05b_ensemble_of_naive_and_mean", lambda s, d: tidy(t.ensemble(t.naive_forecast(series(s, d), H), t.horizon_days(series(s, d), H).select(
         "series_id", lit("mean").alias("method"), "ds", col("mean").alias("yhat")))),
     sql(f"""{SERIES}, w AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS r FROM series WHERE true),
@@ -81,8 +86,16 @@ register("T07b_trend_significance", lambda s, d: tidy(t.trend(freight_series(s,
     f"""WITH RECURSIVE {FREIGHT}, num AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) - 1 AS i FROM series), {_P}
 SELECT series_id, round(v, 6) AS p_value, v < 0.05 AS is_significant FROM (
   SELECT series_id, CASE WHEN direct THEN front * h / p ELSE 1 - front * h / p END AS v FROM swap JOIN lentz USING (series_id) WHERE k = 401)""")
-register("T08_comprehensive_forecast", lambda s, d: tidy(t.comprehensive_forecast(freight_series(s, d), H)))
-register("T09_backtest", lambda s, d: tidy(t.best_methods(t.backtest(freight_series(s, d)))))
+register("T08_comprehensive_forecast", lambda s, d: tidy(t.comprehensive_forecast(freight_series(s, d), H)),
+    f"""WITH RECURSIVE {FREIGHT}, usable AS (SELECT * FROM series WHERE series_id IN (SELECT series_id FROM series GROUP BY 1 HAVING count(*) >= 14)),
+{sq.both('usable', H)}
+{_ROUND} (SELECT series_id, 'history' AS method, ds, y AS yhat FROM usable UNION ALL SELECT * FROM smooth UNION ALL SELECT * FROM auto UNION ALL SELECT * FROM ens)""")
+register("T09_backtest", lambda s, d: tidy(t.best_methods(t.backtest(freight_series(s, d)))),
+    f"""WITH RECURSIVE {FREIGHT}, placed AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS back, count(*) OVER (PARTITION BY series_id) AS n FROM series),
+train AS (SELECT series_id, ds, y FROM placed WHERE n >= 21 AND back > 7),
+{sq.both('train', 7)},
+e AS (SELECT series_id, method, avg(abs((y - yhat) / (y + 1e-8))) * 100 AS mape FROM (SELECT * FROM smooth UNION ALL SELECT * FROM auto) f JOIN placed USING (series_id, ds) GROUP BY 1, 2)
+SELECT series_id, min_by(method, mape) AS best_method, round(min(mape), 4) AS mape FROM e GROUP BY 1""")
 
 
 def _held(s, d):
@@ -112,7 +125,9 @@ register("V07_forecast_band", lambda s, d: tidy(t.forecast_band(t.naive_forecast
 g AS (SELECT series_id, stddev_samp(y) AS sd, max(ds) AS last FROM series GROUP BY 1), st AS (SELECT *, unnest(range(1, {H + 1}))::INTEGER AS step FROM g)""", """
 SELECT st.series_id, 'seasonal_naive' AS method, last + step AS ds, round(y, 4) AS yhat, round(y - 1.96::DOUBLE * sd, 4) AS lower, round(y + 1.96::DOUBLE * sd, 4) AS upper,
   isodow(last + step) >= 6 AS is_weekend FROM st JOIN w ON st.series_id = w.series_id AND w.r <= 7 AND 7 - w.r = (step - 1) % 7"""))
-register("V07b_ensemble_band", lambda s, d: tidy(t.forecast_spread_band(t.ensemble_forecast(series(s, d), H))))
+register("V07b_ensemble_band", lambda s, d: tidy(t.forecast_spread_band(t.ensemble_forecast(series(s, d), H))),
+    f"""WITH RECURSIVE {SERIES}, {sq.both('series', H)}
+SELECT series_id, method, ds, round(yhat, 4) AS yhat, round(yhat - sd, 4) AS lower, round(yhat + sd, 4) AS upper FROM (SELECT *, stddev_samp(yhat) OVER (PARTITION BY series_id) AS sd FROM ens)""")
 
 
 def _projection(s, d):

@@ -1,15 +1,13 @@
 """Forecasting over many series, frames being (series_id, ds, y) with one row per day.
 
 Only daily aggregates get here, so a series holds at most one row per calendar day
-(36,525 over the whole calendar) and windows or grouped maps per series are bounded.
+(36,525 over the whole calendar) and windows or arrays per series are bounded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +16,6 @@ from cargolith.operators.stats import attach
 from cargolith.session import tiny
 
 col, lit, when = F.col, F.lit, F.when
-FORECAST_SCHEMA = "series_id string, method string, ds date, yhat double"
 
 
 def daily_series(df: DataFrame, series: Column, when_: Column, value: Column) -> DataFrame:
@@ -68,86 +65,108 @@ def naive_forecast(series: DataFrame, horizon: int) -> DataFrame:
     return keyed.join(week, ["series_id", "phase"], "left").select("series_id", method.alias("method"), "ds", value.alias("yhat"))
 
 
-def _smooth(y: np.ndarray, horizon: int) -> np.ndarray:
-    """Additive trend and, for more than 24 points, additive season; the smoothing
-    weights are the best of a grid, all candidates stepping through the series at once."""
-    n = len(y)
-    period = min(12, n // 3) if n > 24 else 0
-    seasonal = period > 1
-    grid = np.array([0.05, 0.1, 0.3, 0.5, 0.8])
-    a, b, g = (m.ravel() for m in np.meshgrid(grid, grid * 0.5, grid * 0.5 if seasonal else np.zeros(1), indexing="ij"))
-    if seasonal:
-        # First cycle: slope between cycle means, season as the detrended rest.
-        slope = (y[period:2 * period].mean() - y[:period].mean()) / period
-        offsets = np.arange(period) - (period - 1) / 2
-        level = np.full_like(a, y[:period].mean() + slope * offsets[-1])
-        trend = np.full_like(a, slope)
-        season = np.tile((y[:period] - y[:period].mean() - slope * offsets)[:, None], (1, len(a)))
-        start = period
-    else:
-        level, trend = np.full_like(a, y[0]), np.full_like(a, y[1] - y[0] if n > 1 else 0.0)
-        season, start = np.zeros((1, len(a))), 1
-    errors = np.zeros_like(a)
-    for i in range(start, n):
-        s = season[i % len(season)].copy()
-        errors += (y[i] - (level + trend + s)) ** 2
-        before = level
-        level = a * (y[i] - s) + (1 - a) * (level + trend)
-        trend = b * (level - before) + (1 - b) * trend
-        season[i % len(season)] = g * (y[i] - level) + (1 - g) * s
-    k = int(np.argmin(errors))
-    steps = np.arange(1, horizon + 1)
-    return level[k] + trend[k] * steps + season[(n - 1 + steps) % len(season), k]
-
-
-def _autoregress(y: np.ndarray, horizon: int, max_p: int = 2, max_d: int = 1) -> np.ndarray:
-    """Autoregression on the series or its differences by least squares, order by AIC."""
-    best = None
-    for d in range(max_d + 1):
-        z = np.diff(y, d) if d else y
-        for p in range(max_p + 1):
-            m = len(z) - max_p
-            if m < p + 3:
-                continue
-            target = z[max_p:]
-            design = np.column_stack([np.ones(m), *[z[max_p - j:len(z) - j] for j in range(1, p + 1)]])
-            weights, *_ = np.linalg.lstsq(design, target, rcond=None)
-            sse = float(((target - design @ weights) ** 2).sum())
-            aic = m * np.log(max(sse / m, 1e-12)) + 2 * (p + 1)
-            if best is None or aic < best[0]:
-                best = (aic, d, weights)
-    if best is None:
-        return np.full(horizon, y.mean())
-    _, d, weights = best
-    z = list(np.diff(y, d) if d else y)
-    for _ in range(horizon):
-        z.append(weights[0] + sum(w * z[-j] for j, w in enumerate(weights[1:], 1)))
-    ahead = np.array(z[-horizon:])
-    return y[-1] + np.cumsum(ahead) if d else ahead
-
-
-def _grouped(series: DataFrame, horizon: int, method: str, fit) -> DataFrame:
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ds")
-        last = pd.Timestamp(pdf["ds"].iloc[-1])
-        return pd.DataFrame(
-            {
-                "series_id": pdf["series_id"].iloc[0],
-                "method": method,
-                "ds": [(last + pd.Timedelta(days=k)).date() for k in range(1, horizon + 1)],
-                "yhat": fit(pdf["y"].to_numpy(float), horizon),
-            }
-        )
-
-    return series.select("series_id", "ds", "y").groupBy("series_id").applyInPandas(run, FORECAST_SCHEMA)
+# Smoothing weights that are tried, for the level; trend and season take half of each.
+WEIGHTS = [0.05, 0.1, 0.3, 0.5, 0.8]
 
 
 def smoothing_forecast(series: DataFrame, horizon: int) -> DataFrame:
-    return _grouped(series, horizon, "exponential_smoothing", _smooth)
+    """Additive trend and, for more than 24 points, additive season of up to 12 points.
+
+    The days of a series (at most one a calendar day) are one array; every weight of the grid is a row, and its
+    state is a fold over the array: level, trend, season, squared one-step errors. The least error wins, the
+    earlier weights on a tie.
+    """
+    days = series.groupBy("series_id").agg(F.array_sort(F.collect_list(F.struct("ds", "y"))).alias("days"))
+    days = days.select("series_id", col("days")[F.size("days") - 1]["ds"].alias("last"), F.transform("days", lambda r: r["y"].cast("double")).alias("y"))
+    n, y, one = F.size("y"), col("y"), lit(1.0)
+    period = when(n > 24, F.least(lit(12), F.floor(n / 3).cast("int"))).otherwise(0)
+
+    def mean(values: Column) -> Column:
+        return F.aggregate(values, lit(0.0), lambda t, v: t + v) / F.size(values)
+
+    half = (col("period") - 1) / 2
+    first = mean(F.slice("y", 1, F.greatest("period", lit(1))))
+    days = days.withColumn("period", period).withColumn("first", first)
+    slope = (mean(F.slice(y, col("period") + 1, F.greatest(col("period"), lit(1)))) - col("first")) / col("period")
+    seasonal = col("period") > 1
+    days = days.withColumn("slope", when(seasonal, slope))
+    # First cycle: slope between cycle means, season as the detrended rest.
+    season = F.transform(F.slice("y", 1, F.greatest("period", lit(1))), lambda v, i: v - col("first") - col("slope") * (i - half))
+    days = days.select(
+        "series_id", "last", "y", when(seasonal, col("period")).otherwise(1).alias("start"),
+        when(seasonal, season).otherwise(F.array(lit(0.0))).alias("season"),
+        when(seasonal, col("first") + col("slope") * (col("period") - 1 - half)).otherwise(y[0]).alias("level"),
+        when(seasonal, col("slope")).when(n > 1, y[1] - y[0]).otherwise(0.0).alias("trend"))
+    grid = [(a, b / 2, g / 2, i * 25 + j * 5 + k) for i, a in enumerate(WEIGHTS) for j, b in enumerate(WEIGHTS) for k, g in enumerate(WEIGHTS)]
+    choices = F.array(*[F.struct(lit(a).alias("a"), lit(b).alias("b"), lit(g).alias("g"), lit(k).alias("place")) for a, b, g, k in grid])
+    # Without a season only the first seasonal weight is tried, where it has no effect.
+    choices = when(F.size("season") > 1, choices).otherwise(F.filter(choices, lambda c: c["place"] % 5 == 0))
+    rows = days.select("*", F.inline(choices))
+    a, b, g = col("a"), col("b"), when(F.size("season") > 1, col("g")).otherwise(0.0)
+
+    def state(level: Column, trend: Column, season: Column, error: Column) -> Column:
+        return F.struct(level.alias("level"), trend.alias("trend"), season.alias("season"), error.alias("error"))
+
+    def step(s: Column, i: Column) -> Column:
+        at = (i % F.size(s["season"])).cast("int")
+        value, own = F.get("y", i), F.get(s["season"], at)
+        ahead = s["level"] + s["trend"]
+        level = a * (value - own) + (one - a) * ahead
+        season = F.transform(s["season"], lambda v, j: when(j == at, g * (value - level) + (one - g) * own).otherwise(v))
+        miss = value - (ahead + own)
+        return state(level, b * (level - s["level"]) + (one - b) * s["trend"], season, s["error"] + miss * miss)
+
+    turns = when(F.size("y") > col("start"), F.sequence(col("start"), F.size("y") - 1)).otherwise(F.array().cast("array<int>"))
+    ended = rows.select("series_id", "last", F.size("y").alias("n"), "place", F.aggregate(turns, state(col("level"), col("trend"), col("season"), lit(0.0)), step).alias("s"))
+    best = ended.groupBy("series_id").agg(F.min_by(F.struct("last", "n", "s"), F.struct(col("s.error"), col("place"))).alias("r"))
+    k = F.explode(F.sequence(lit(1), lit(horizon))).alias("k")
+    ahead = best.select("series_id", "r", k)
+    yhat = col("r.s.level") + col("r.s.trend") * col("k") + F.get(col("r.s.season"), (col("r.n") - 1 + col("k")) % F.size("r.s.season"))
+    return ahead.select("series_id", lit("exponential_smoothing").alias("method"), F.date_add("r.last", col("k")).alias("ds"), yhat.alias("yhat"))
 
 
 def autoregressive_forecast(series: DataFrame, horizon: int) -> DataFrame:
-    return _grouped(series, horizon, "autoregressive", _autoregress)
+    """Autoregression of up to two lags on the series or its differences by least squares, order by AIC.
+
+    Least squares needs the means and products of a value and its two lags only: one aggregate per series and
+    degree of differencing, solved as expressions. Series too short for any order are continued by their mean.
+    """
+    w = _by_day()
+    both = series.select("series_id", "ds", col("y").cast("double").alias("y")).withColumn("before", F.lag("y").over(w))
+    options = F.array(F.struct(lit(0).alias("d"), col("y").alias("z")), F.struct(lit(1).alias("d"), (col("y") - col("before")).alias("z")))
+    rows = both.select("series_id", "ds", F.inline(options)).filter(col("z").isNotNull())
+    by = Window.partitionBy("series_id", "d").orderBy("ds")
+    lagged = rows.withColumn("z1", F.lag("z", 1).over(by)).withColumn("z2", F.lag("z", 2).over(by))
+    tail = lagged.withColumn("__r", F.row_number().over(Window.partitionBy("series_id", "d").orderBy(col("ds").desc()))).filter("__r = 1").select(
+        "series_id", "d", col("z").alias("last1"), col("z1").alias("last2"))
+    m = F.count(lit(1))
+    pairs = {"00": ("z", "z"), "01": ("z", "z1"), "02": ("z", "z2"), "11": ("z1", "z1"), "12": ("z1", "z2"), "22": ("z2", "z2")}
+    sums = lagged.filter(col("z2").isNotNull()).groupBy("series_id", "d").agg(
+        m.alias("m"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(("z", "z1", "z2"))], *[(F.covar_pop(a, b) * m).alias(f"s{k}") for k, (a, b) in pairs.items()])
+    s = {k: col(f"s{k}") for k in pairs}
+    det = s["11"] * s["22"] - s["12"] * s["12"]
+    two = ((s["01"] * s["22"] - s["02"] * s["12"]) / det, (s["02"] * s["11"] - s["01"] * s["12"]) / det)
+    zero, out = lit(0.0), []
+    for p, (w1, w2, ok) in enumerate([(zero, zero, lit(True)), (s["01"] / s["11"], zero, s["11"] > 0), (*two, det > 1e-12 * s["11"] * s["22"])]):
+        w1, w2 = when(ok, w1).otherwise(0.0), when(ok, w2).otherwise(0.0)
+        spread = s["00"] - w1 * s["01"] - w2 * s["02"]
+        aic = col("m") * F.log(F.greatest(spread / col("m"), lit(1e-12))) + 2 * (p + 1)
+        fit = F.struct(aic.alias("aic"), col("d"), lit(p).alias("p"), (col("m0") - w1 * col("m1") - w2 * col("m2")).alias("w0"), w1.alias("w1"), w2.alias("w2"))
+        out.append(when(ok & (col("m") >= p + 3), fit))
+    found = sums.select("series_id", F.explode(F.array_compact(F.array(*out))).alias("f")).groupBy("series_id").agg(
+        F.min_by("f", F.struct(col("f.aic"), col("f.d"), col("f.p"))).alias("f")).select("series_id", "f.d", "f.w0", "f.w1", "f.w2")
+    about = series.groupBy("series_id").agg(F.max("ds").alias("last"), F.max_by("y", "ds").cast("double").alias("top"), F.avg("y").alias("mean"))
+    known = about.join(found, "series_id", "left").join(tail, ["series_id", "d"], "left")
+
+    def step(a: Column, _: Column) -> Column:
+        value = col("w0") + col("w1") * a["z1"] + col("w2") * a["z2"]
+        return F.struct(value.alias("z1"), a["z1"].alias("z2"), F.concat(a["out"], F.array(value)).alias("out"))
+
+    start = F.struct(col("last1").alias("z1"), F.coalesce("last2", lit(0.0)).alias("z2"), F.array().cast("array<double>").alias("out"))
+    ahead = known.withColumn("out", F.aggregate(F.sequence(lit(1), lit(horizon)), start, step)["out"]).select("*", F.explode(F.sequence(lit(1), lit(horizon))).alias("k"))
+    total = F.aggregate(F.slice("out", 1, col("k")), lit(0.0), lambda t, v: t + v)
+    yhat = when(col("w0").isNull(), col("mean")).when(col("d") == 1, col("top") + total).otherwise(F.get("out", col("k") - 1))
+    return ahead.select("series_id", lit("autoregressive").alias("method"), F.date_add("last", col("k")).alias("ds"), yhat.alias("yhat"))
 
 
 def ensemble(*forecasts: DataFrame) -> DataFrame:
