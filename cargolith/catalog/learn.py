@@ -20,6 +20,7 @@ from cargolith.plans import evaluation as ev
 from cargolith.plans import features as f
 from cargolith.plans import linear as lin
 from cargolith.plans import models as m
+from cargolith.plans import registry as reg
 from cargolith.plans import scoring as sc
 from cargolith.plans import segments as seg
 from cargolith.plans import selection as sel
@@ -455,6 +456,29 @@ def _reloaded(s, d):
 register("S15b_reload_check", _reloaded, sql(SHIP, f"SELECT count(*) AS n, 0::BIGINT AS differing FROM shipments WHERE {TESTED}"))
 
 
+def _registry(s, d):
+    """Three models in a folder, one of them damaged: what is loaded, and how many rows each of the others scores."""
+    frame = shipment_frame(s, d)
+    root, few = f"{scratch_path(s, 'registry')}", DELIVERY[:6]
+    variance = stash(m.design(frame, few, "DeliveryVariance", ["ShipmentID"]), "design")
+    flag = stash(m.design(frame, few, "OnTimeDeliveryFlag", ["ShipmentID"]), "design")
+    reg.publish(m.REGRESSORS["ridge"]().fit(variance), root, "DeliveryVariance", "ridge", few)
+    reg.publish(m.REGRESSORS["lasso"]().fit(variance), root, "DeliveryVariance", "lasso", few)
+    reg.publish(LogisticRegression(maxIter=20).fit(flag), root, "OnTimeDeliveryFlag", "logistic", few)
+    broken = s._jvm.org.apache.hadoop.fs.Path(f"{root}/DeliveryVariance/lasso/1/model/stages")
+    broken.getFileSystem(s.sparkContext._jsc.hadoopConfiguration()).delete(broken, True)
+    models, report = reg.load_all(s, root, frame.columns)
+    scored = reg.score_all(models, frame, ["ShipmentID"])
+    counts = scored.agg(*[F.count(f"{t}__{a}").alias(f"{t}__{a}") for t, a in models])
+    rows = counts.select(F.inline(F.array(*[F.struct(lit(t).alias("target"), lit(a).alias("algorithm"), col(f"{t}__{a}").alias("scored")) for t, a in models])))
+    return report.join(rows, ["target", "algorithm"], "left").select("target", "algorithm", "version", "status", F.coalesce("scored", lit(0)).alias("scored"))
+
+
+register("S15c_model_folder", _registry, sql(SHIP, """
+SELECT target, algorithm, 1 AS version, status, CASE WHEN status = 'ok' THEN n ELSE 0 END AS scored
+FROM (VALUES ('DeliveryVariance', 'ridge', 'ok'), ('DeliveryVariance', 'lasso', 'unreadable'), ('OnTimeDeliveryFlag', 'logistic', 'ok')) v(target, algorithm, status), (SELECT count(*) AS n FROM shipments)"""))
+
+
 def _delivery_models(s, d, frame):
     train, _ = m.train_test(m.design(frame, DELIVERY, "OnTimeDeliveryFlag", ["ShipmentID"]), "ShipmentID")
     clf = m.fit_all(m.class_weights(train), subset(m.CLASSIFIERS, "logistic"))["logistic"]
