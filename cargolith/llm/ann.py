@@ -4,11 +4,12 @@ Largest inner product becomes least distance by one more component, sqrt(M - |x|
 norm. Centroids come from balanced k-means on a bounded sample. Each vector goes to its nearest list, and to
 further ones whose distance is within ``SPREAD`` of that (boundary vectors), unless such a list is nearer to one already
 taken than to the vector. Queries find lists by best-first search in a neighbour graph of the centroids, held in
-memory; lists count up to a distance ratio that follows from sample queries and their exact neighbours, so
-that the target recall is met. Long lists and lists with many queries are cut into blocks.
+memory; lists count up to a distance ratio, the least one at which that very search meets the target recall on
+sample queries with known neighbours. Long lists and lists with many queries are cut into blocks.
 
 A list gives a query only what can still be among its best: a first bound comes from a bounded sample of the rows,
-a second from the query's ``LEAD`` nearest lists; both hold for all rows, as the k-th best of some of them.
+a second from the query's ``LEAD`` nearest lists; both hold for all rows, as the k-th best of some of them. The
+sample gives that number only: every row of the result comes out of a list.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cargolith.llm.common import stash
-from cargolith.llm.vectors import grouped, k_means, sample, squared, unique_vectors
+from cargolith.llm.vectors import grouped, k_means, lengths, sample, squared, unique_vectors
 
 TARGET, SPREAD, COPIES = 0.97, 0.1, 4
-SAMPLE, LISTS, LIST_SIZE, DEGREE, PROBES, LEAD, GUIDE = 65_536, 8192, 200, 24, 64, 4, 8192
+LISTS, LIST_SIZE, DEGREE, PROBES, LEAD = 8192, 200, 24, 128, 4
+#: Rows and bytes of the sample that centroids are fitted on, and of the one that gives the first bound.
+SAMPLE, SAMPLE_BYTES, GUIDE, GUIDE_BYTES = 65_536, 32 << 20, 8192, 4 << 20
 
 
 def _lift(x: np.ndarray, top: float) -> np.ndarray:
@@ -38,7 +41,7 @@ def _query(x: np.ndarray) -> np.ndarray:
 
 class Centroids:
     def __init__(self, points: np.ndarray, rows: int):
-        self.centres = k_means(points, int(min(LISTS, max(1, rows // LIST_SIZE))), balance=True)
+        self.centres = k_means(points, int(min(LISTS, len(points), max(1, rows // LIST_SIZE))), balance=True)
         k = min(DEGREE + 1, len(self.centres))
         near = [np.argpartition(squared(self.centres[i : i + 1024], self.centres), k - 1, 1)[:, :k] for i in range(0, len(self.centres), 1024)]
         links = [set(r.tolist()) for r in np.concatenate(near)]
@@ -142,19 +145,60 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _bounded(rows: int, limit: int, size: int) -> int:
+    """``rows``, or as many vectors of ``size`` doubles as ``limit`` bytes hold."""
+    return max(1, min(rows, limit // (8 * size)))
+
+
+def _fitted_ratio(centroids: Centroids, queries: np.ndarray, wanted: list[list[np.ndarray]]) -> float:
+    """The least distance ratio at which the graph search reaches a list of TARGET of the wanted rows.
+
+    ``wanted`` holds, per query, the lists of each of its exact neighbours.
+    """
+    points = _query(queries)
+    steps = []
+    for q, rows in zip(points, wanted, strict=True):
+        d = np.sqrt(squared(q[None], centroids.centres)[0])
+        steps += [float(d[lists].min() / max(d.min(), 1e-12)) for lists in rows]
+    if not steps:
+        return 1.0
+    low = float(np.quantile(steps, TARGET))
+    tries = sorted({low, *np.quantile(steps, np.linspace(TARGET, 1, 8)).tolist(), *(max(steps) * f for f in (1.05, 1.1, 1.2, 1.4, 2.0))})
+    for ratio in tries:
+        ratio *= 1 + 1e-9
+        hits = 0
+        for q, rows in zip(points, wanted, strict=True):
+            found = set(centroids.search(q, ratio))
+            hits += sum(not found.isdisjoint(np.asarray(lists).tolist()) for lists in rows)
+        if hits >= TARGET * len(steps):
+            return ratio
+    return float("inf")
+
+
 def neighbours(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of largest inner product found for each vec_id divisible by ``every``.
 
-    All candidates where there are fewer than k. Vectors that are NULL, zero, of another length, or hold NULL or
-    non-finite components take no part, nor do rows without vec_id; of repeated ids the smallest vector counts.
+    All candidates where there are fewer than k; candidates have the query's length. Vectors that are NULL, zero,
+    or hold NULL or non-finite components take no part, nor do rows without vec_id; of repeated ids the smallest
+    vector counts. An empty table gives no row.
     """
     spark = table.sparkSession
-    rows = stash(unique_vectors(table).filter("usable").select("vec_id", "embedding", F.expr("aggregate(embedding, 0d, (s, x) -> s + x * x)").alias("norm")), "vectors")
+    kept = stash(unique_vectors(table), "vectors")
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for size in lengths(kept):
+        rows = kept.filter(F.col("usable") & (F.size("embedding") == size))
+        if not rows.filter(F.col("vec_id") % every == 0).isEmpty():
+            out = out.union(_of_length(rows, size, every, k).select(*out.columns))
+    return out
+
+
+def _of_length(vectors: DataFrame, size: int, every: int, k: int) -> DataFrame:
+    """``neighbours`` for vectors of one length."""
+    spark = vectors.sparkSession
+    rows = stash(vectors.select("vec_id", "embedding", F.expr("aggregate(embedding, 0d, (s, x) -> s + x * x)").alias("norm")), "vectors")
     total = rows.agg(F.count("*").alias("n"), F.max("norm").alias("top")).first()
-    if not total.n:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     n, top = total.n, total.top
-    centroids = Centroids(_lift(sample(rows, SAMPLE), top), n)
+    centroids = Centroids(_lift(sample(rows, _bounded(SAMPLE, SAMPLE_BYTES, size)), top), n)
     shared = spark.sparkContext.broadcast(centroids)  # LISTS centroids and their graph at most
 
     def store(frames):
@@ -164,17 +208,10 @@ def neighbours(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
 
     stored = stash(rows.mapInPandas(store, "vec_id long, embedding array<double>, lists array<long>"), "lists")
     queries = rows.filter(F.col("vec_id") % every == 0)
-    # Ratio from sample queries: how far out their exact neighbours' nearest lists lie.
     probes = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PROBES).toPandas()
-    ratio = 1.0
-    if len(probes):
-        true = exact(probes, rows, k).join(stored.select("vec_id", "lists"), "vec_id").select("query_id", "lists").toPandas()
-        at = {v: _query(np.asarray(e)[None])[0] for v, e in zip(probes["vec_id"], probes["embedding"], strict=True)}
-        ratios = []
-        for v, lists in zip(true["query_id"], true["lists"], strict=True):
-            d = np.sqrt(((centroids.centres - at[v]) ** 2).sum(1))
-            ratios.append(d[lists].min() / max(d.min(), 1e-12))
-        ratio = float(np.quantile(ratios, TARGET)) * (1 + 1e-9) if ratios else 1.0
+    true = exact(probes, rows, k).join(stored.select("vec_id", "lists"), "vec_id").select("query_id", "lists").toPandas()
+    lists_of = true.groupby("query_id")["lists"].apply(list).to_dict()
+    ratio = _fitted_ratio(centroids, np.stack(probes["embedding"].to_numpy()), [lists_of.get(v, []) for v in probes["vec_id"]])
 
     def search(frames):
         own = shared.value
@@ -201,7 +238,7 @@ def neighbours(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
         worst = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("least"))
         return probes.join(worst, "vec_id", "left").withColumn("least", F.coalesce("least", none))
 
-    guide = rows.orderBy(F.xxhash64("vec_id", F.lit(2)), "vec_id").limit(GUIDE).select("vec_id", "embedding").toPandas()
+    guide = rows.orderBy(F.xxhash64("vec_id", F.lit(2)), "vec_id").limit(_bounded(GUIDE, GUIDE_BYTES, size)).select("vec_id", "embedding").toPandas()
     known = spark.sparkContext.broadcast((guide["vec_id"].to_numpy(), np.stack(guide["embedding"].to_numpy())))  # GUIDE rows
 
     def against_sample(frames):
@@ -209,17 +246,20 @@ def neighbours(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
         for pdf in frames:
             yield _top(pdf["vec_id"].to_numpy(), np.stack(pdf["embedding"].to_numpy()), ids, x, k)
 
-    found = stash(asked.select("vec_id", "embedding").mapInPandas(against_sample, _FOUND), "found")
-    lead = from_lists(bounded(asked.withColumn("lists", F.slice("lists", 1, LEAD)), found))
-    found = stash(_best(found.union(lead), k).select("query_id", "vec_id", "score"), "found")
-    rest = from_lists(bounded(asked.filter(F.size("lists") > LEAD).withColumn("lists", F.expr(f"slice(lists, {LEAD + 1}, size(lists))")), found))
-    found = stash(_best(found.union(rest.select("query_id", "vec_id", "score")), k), "found")
-    # Queries whose lists held too few: they go through all lists.
-    short = queries.select("vec_id", "embedding").join(found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("c")), "vec_id", "left").filter(
-        F.coalesce("c", F.lit(0)) < min(k, n - 1)).drop("c")
-    short = stash(short, "short")
-    if short.isEmpty():
-        return found
-    every_list = F.sequence(F.lit(0), F.lit(len(centroids.centres) - 1)).cast("array<long>")
-    everything = _best(from_lists(short.withColumn("lists", every_list).withColumn("least", none)), k)
-    return found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(*everything.columns).union(everything)
+    first = bounded(asked, asked.select("vec_id", "embedding").mapInPandas(against_sample, _FOUND))
+    lead = stash(_best(from_lists(first.withColumn("lists", F.slice("lists", 1, LEAD))), k).select("query_id", "vec_id", "score"), "found")
+    second = bounded(first.filter(F.size("lists") > LEAD).withColumnRenamed("least", "before"), lead).withColumn("least", F.greatest("least", "before")).drop("before")
+    rest = from_lists(second.withColumn("lists", F.expr(f"slice(lists, {LEAD + 1}, size(lists))")))
+    found = stash(_best(lead.union(rest.select("query_id", "vec_id", "score")), k), "found")
+    # Queries for which their lists hold fewer than k rows above the bound: without a bound, then through all lists.
+    for every_list in (False, True):
+        counted = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("c"))
+        short = asked.join(counted, "vec_id", "left").filter(F.coalesce("c", F.lit(0)) < min(k, n - 1)).drop("c")
+        short = stash(short.withColumn("least", none), "short")
+        if short.isEmpty():
+            break
+        if every_list:
+            short = short.withColumn("lists", F.sequence(F.lit(0), F.lit(len(centroids.centres) - 1)).cast("array<long>"))
+        again = _best(from_lists(short), k)
+        found = stash(found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(*again.columns).union(again), "found")
+    return found

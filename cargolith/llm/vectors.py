@@ -15,14 +15,19 @@ BLOCK = 2048
 def unique_vectors(table: DataFrame) -> DataFrame:
     """vec_id, embedding (doubles), usable: one row per vec_id other than NULL; of repeated ids the smallest vector counts.
 
-    Usable is a vector without NULL or non-finite components, not all zero, of the table's most frequent length.
+    Usable is a vector without NULL or non-finite components, not empty and not all zero. Vectors of different
+    lengths are never near each other: the operators take one length after the other (see ``lengths``).
     """
     rows = like(table, "vec_id", "embedding").filter("vec_id is not null").groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(
         F.min(F.col("embedding").cast("array<double>")).alias("embedding"))
     fine = F.expr("embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(embedding, x -> x <> 0)")
-    rows = rows.withColumn("usable", fine)
-    sizes = rows.filter("usable").groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.withColumn("usable", F.col("usable") & (F.size("embedding") == (sizes.n if sizes else 0)))
+    return rows.withColumn("usable", fine)
+
+
+def lengths(rows: DataFrame) -> list[int]:
+    """Lengths of the usable vectors, the most frequent first; a table has one as a rule."""
+    found = rows.filter("usable").groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").collect()  # one row per length
+    return [r.n for r in found]
 
 
 def sample(vectors: DataFrame, rows: int, salt: int = 0) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Vector operators against brute force."""
 
 import numpy as np
+import pytest
 
 from cargolith.llm import ann
 from cargolith.llm.ann import neighbours
@@ -89,3 +90,35 @@ def test_visits_are_fitted_where_links_are_rare(spark):
     x[60:120] = 0.902 * x[:60] + np.sqrt(1 - 0.902**2) * noise / np.linalg.norm(noise, axis=1)[:, None]
     got = {r.vec_id: r.n_links for r in vector_duplicates(frame(spark, x)).collect()}
     assert sum(got[k] >= 1 for k in range(60)) >= 59
+
+
+@pytest.mark.parametrize("kind", ["normal", "clustered"])
+def test_recall_of_the_lists_beyond_the_sample(spark, kind):
+    """20,000 vectors, more than twice the sample of the bound; no row of the result comes from that sample."""
+    rng = np.random.default_rng(5)
+    n, size = 20_000, 32
+    x = rng.normal(size=(n, size))
+    if kind == "clustered":
+        x = rng.normal(size=(60, size))[rng.integers(0, 60, n)] * 2 + 0.6 * x
+    x = x.astype(np.float32).astype(float)
+    got = {}
+    for r in neighbours(frame(spark, x)).collect():
+        got.setdefault(r.query_id, []).append(r.score)
+    hits = 0
+    for q, scores in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += (np.array(scores) >= np.partition(s, n - 20)[n - 20] - 1e-9).sum()
+    assert len(got) == n // 20 and all(len(s) == 20 for s in got.values())
+    print(kind, hits / n)
+    assert hits >= 0.95 * n
+
+
+def test_lengths_are_searched_apart(spark):
+    """Vectors of a rarer length link and are found among themselves."""
+    x = clustered(200)
+    odd = [(1000, [1.0, 2.0], 0.0), (1001, [2.0, 4.0], 0.0), (1002, [-1.0, 0.5], 0.0), (1020, [1.0], 0.0)]
+    got = {r.vec_id: r for r in vector_duplicates(frame(spark, x, odd)).collect()}
+    assert (got[1000].n_links, got[1001].n_links, got[1002].n_links, got[1020].n_links) == (1, 1, 0, 0) and got[1001].component_id == 1000
+    near = {(r.query_id, r.rank): (r.vec_id, r.score) for r in neighbours(frame(spark, x, odd)).collect()}
+    assert near[1000, 1] == (1001, 10.0) and near[1000, 2] == (1002, 0.0) and (1000, 3) not in near and (1020, 1) not in near
