@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cargolith.llm.common import components, stash
-from cargolith.llm.vectors import grouped, k_means, nearest, sample, squared, unique_vectors
+from cargolith.llm.vectors import grouped, k_means, lengths, nearest, sample, squared, unique_vectors
 
 COSINE, TARGET = 0.9, 0.995
 SAMPLE, PROBES, CELL, CODEWORDS = 20_000, 256, 64, 1024
@@ -159,16 +159,23 @@ def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
 def vector_duplicates(table: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per vec_id of ``table`` (vec_id, embedding, others ignored).
 
-    Linked are vectors found to have a cosine of ``COSINE`` or more. Vectors that are NULL, zero, of another
-    length, or hold NULL or non-finite components have no link. Rows without vec_id are left out.
+    Linked are vectors of one length found to have a cosine of ``COSINE`` or more. Vectors that are NULL, zero,
+    or hold NULL or non-finite components have no link. Rows without vec_id are left out; of repeated ids the
+    smallest vector counts. An empty table gives no row.
     """
-    spark = table.sparkSession
     rows = stash(unique_vectors(table), "vectors")
-    classes = stash(rows.filter("usable").groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "classes")
+    out = rows.filter("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for size in lengths(rows):
+        out = out.union(_linked(rows.filter(F.col("usable") & (F.size("embedding") == size))))
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+def _linked(rows: DataFrame) -> DataFrame:
+    """vec_id, n_links, component_id of usable vectors of one length; there is one at least."""
+    spark = rows.sparkSession
+    classes = stash(rows.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "classes")
     n = classes.count()
     points = sample(classes, SAMPLE)
-    if not n:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     grid = Grid(_unit(points), n)
     visits = _visits(classes, grid)
     shared = spark.sparkContext.broadcast(grid)  # two codebooks of CODEWORDS rows at most
@@ -191,6 +198,4 @@ def vector_duplicates(table: DataFrame) -> DataFrame:
     joined = components(met.select(F.col("vec_id").alias("a"), F.col("leader").alias("b")).distinct())
     about = classes.join(sums, "vec_id", "left").join(joined.withColumnRenamed("node", "vec_id"), "vec_id", "left").select(
         "embedding", F.col("vec_id").alias("first"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
-    out = rows.filter("usable").join(about, "embedding").select("vec_id", "n_links", "component_id")
-    out = out.union(rows.filter("not usable").select("vec_id", F.lit(0).cast("long"), "vec_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return rows.join(about, "embedding").select("vec_id", "n_links", "component_id")
