@@ -52,6 +52,14 @@ def like(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as a column of ``df`` has that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 # --- words as numbers ------------------------------------------------------------------------
 
 _RNG = np.random.default_rng(20240229)

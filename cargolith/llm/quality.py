@@ -135,8 +135,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
     return fit([t.encode() for _, t, _ in sample], [int(q > 0) for _, _, q in sample])
 
 
-def scored(docs: DataFrame, network: Network) -> DataFrame:
-    """``docs`` with all rows and columns, and ``score`` (0 to 1); NULL texts count as empty."""
+def scored(docs: DataFrame, network: Network, name: str = "score") -> DataFrame:
+    """``docs`` with all rows and columns, and column ``name`` (0 to 1); NULL texts count as empty."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(network)  # some 40 kB
 
@@ -146,11 +146,11 @@ def scored(docs: DataFrame, network: Network) -> DataFrame:
             for i, j, data, offs in text_slices(batch.column("text")):
                 values = [float(own.forward(data[offs[k] : offs[k + 1]])[0]) for k in range(j - i)]
                 part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.float64())], [*part.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.float64())], [*part.schema.names, name])
 
     from pyspark.sql import types as T
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cargolith.llm.common import _STEP, components, like, mix, shingles, stash, text_slices, words
+from cargolith.llm.common import _STEP, components, free_name, like, mix, shingles, stash, text_slices, words
 
 SIZE = 5
 PARAGRAPH = 32
@@ -314,7 +314,8 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     named = _narrow(docs).filter("doc_id is not null")
     changed = named.join(cuts, "doc_id").select("doc_id", "text", "cuts").mapInArrow(run, "doc_id long, text string")
-    fresh = stash(changed.withColumnRenamed("doc_id", "_id").withColumnRenamed("text", "_text"), "cut")
-    kept_rows = docs.join(fresh.select("_id").distinct(), F.col("doc_id") == F.col("_id"), "left_anti")
-    cut_rows = docs.join(fresh, F.col("doc_id") == F.col("_id")).select(*[F.col("_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    key, text = free_name(docs, "_id"), free_name(docs, "_text")
+    fresh = stash(changed.withColumnsRenamed({"doc_id": key, "text": text}), "cut")
+    kept_rows = docs.join(fresh.select(key).distinct(), F.col("doc_id") == F.col(key), "left_anti")
+    cut_rows = docs.join(fresh, F.col("doc_id") == F.col(key)).select(*[F.col(text).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
     return kept_rows.unionByName(cut_rows)
