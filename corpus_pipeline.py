@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargolith.llm import neardup, packing, personal, quality, substring
-from cargolith.llm.common import read_table, stash
+from cargolith.llm.common import free_name, read_table, stash
 
 
 def _recount(docs: DataFrame) -> DataFrame:
@@ -25,7 +25,8 @@ def _recount(docs: DataFrame) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject (score of 1/2 or more); fitted on the given labels."""
     network = quality.train(docs, read_table(spark, sf_dir, "labels"))
-    return quality.scored(docs, network).filter("score >= 0.5").select(*docs.columns)
+    name = free_name(docs, "score")
+    return quality.scored(docs, network, name).filter(F.col(name) >= 0.5).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
