@@ -269,6 +269,27 @@ DEG = f"""deg AS (SELECT c.model, c.rmse, c.r2, b.rmse AS baseline_rmse, b.r2 AS
 register("G12_degradation", lambda s, d: tidy(degraded(s, d)),
     sql(DEG, "SELECT model, " + ", ".join(f"round({c}, 4) AS {c}" for c in ("rmse", "r2", "baseline_rmse", "baseline_r2", "rmse_change", "r2_change")) +
         ", deg.rmse_change > 0.1 AS rmse_alert, deg.r2_change > 0.1 AS r2_alert FROM deg"))
+
+
+def accuracies(s, d, flag):
+    """Share of order lines that each price model puts on the right side of 30,000."""
+    base = parquet(s, d, "lineitem").filter(col("l_linestatus") == flag).join(parquet(s, d, "part"), col("l_partkey") == col("p_partkey"))
+    listed = col("l_quantity") * col("p_retailprice") * (1.0 if flag == "F" else 1.1)
+    rows = [F.struct(lit("list_price").alias("model"), listed.alias("p")), F.struct(lit("damped").alias("model"), (listed * 0.5 + 15000.0).alias("p"))]
+    both = base.select((col("l_extendedprice") > 30000).alias("y"), F.inline(F.array(*rows)))
+    return both.groupBy("model").agg(F.avg((col("y") == (col("p") > 30000)).cast("double")).alias("accuracy"))
+
+
+def _acc(flag, factor):
+    listed = f"l_quantity * p_retailprice * {factor}::DOUBLE"
+    pieces = " UNION ALL ".join(f"SELECT '{m}' AS model, (l_extendedprice > 30000) = ({e} > 30000) AS hit FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linestatus = '{flag}'"
+                                for m, e in (("list_price", listed), ("damped", f"({listed} * 0.5::DOUBLE + 15000)")))
+    return f"(SELECT model, avg(hit::INTEGER::DOUBLE) AS accuracy FROM ({pieces}) GROUP BY 1)"
+
+
+register("G12b_accuracy_degradation", lambda s, d: tidy(dr.accuracy_degradation(accuracies(s, d, "O"), accuracies(s, d, "F"))), f"""
+SELECT model, round(c.accuracy, 4) AS accuracy, round(b.accuracy, 4) AS baseline_accuracy, round((b.accuracy - c.accuracy) / b.accuracy, 4) AS accuracy_change,
+  (b.accuracy - c.accuracy) / b.accuracy > 0.05 AS accuracy_alert FROM {_acc('O', '1.1')} c JOIN {_acc('F', '1.0')} b USING (model)""")
 register("G13_alert_summary", lambda s, d: dr.alert_summary(dr.alerts(dr.verdicts(*halves(s, d), COLS), degraded(s, d))),
     sql(f"{DRIFT}, {DEG}, n AS (SELECT (SELECT count(*) FILTER (hit) FROM vd) AS a, (SELECT count(*) FILTER (rmse_change > 0.1) + count(*) FILTER (r2_change > 0.1) FROM deg) AS b)",
     """SELECT a + b AS total_alerts, a AS drift_alerts, b AS performance_alerts,

@@ -135,6 +135,11 @@ shares AS (SELECT feature, n / sum(n) OVER (PARTITION BY feature) AS pxy,
 mi AS (SELECT feature, sum(pxy * ln(pxy / (px * py))) AS score FROM shares GROUP BY 1)"""
 register("E09_mutual_information", lambda s, d: tidy(sel.ranked(sel.mutual_information(matrix(s, d), FEATS, "OnTimeDeliveryFlag", bin_target=False), "mutual_info", K), 9),
     sql(MI, ranked_sql("mi", "mutual_info", digits=9)))
+MIB = MI.replace(f"cells AS (SELECT feature, {_BIN} AS xb, y, count(*) AS n FROM long JOIN edges USING (feature) GROUP BY 1, 2, 3)",
+    f"""span AS (SELECT min(v) AS vlo, max(v) AS vhi FROM long),
+cells AS (SELECT feature, {_BIN} AS xb, greatest(0, least(9, CAST(ceil((v - vlo) / (vhi - vlo) * 10) AS INTEGER) - 1)) AS y, count(*) AS n FROM long JOIN edges USING (feature), span GROUP BY 1, 2, 3)""")
+register("E09b_mutual_information_numeric", lambda s, d: tidy(sel.ranked(sel.mutual_information(matrix(s, d), FEATS, "DeliveryVariance"), "mutual_info", K), 9),
+    sql(MIB, ranked_sql("mi", "mutual_info", digits=9)))
 register("E10_uncorrelated_features", lambda s, d: tidy(sel.greedy_uncorrelated(matrix(s, d), FEATS, "DeliveryVariance", K), 6),
     sql(f"{MATRIX}, tc AS (SELECT feature, abs(corr(x, v)) AS score FROM long GROUP BY 1)", f"SELECT * FROM ({ranked_sql('tc', 'correlation')}) WHERE selected"))
 VARS = f"{MATRIX}, vr AS (SELECT feature, var_samp(x) AS score FROM long GROUP BY 1 HAVING var_pop(x) > 0.01)"

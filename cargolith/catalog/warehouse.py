@@ -16,7 +16,7 @@ from cargolith.operators.ranking import row_numbers
 from cargolith.operators.stats import attach, unfold
 from cargolith.plans import customers as cust
 from cargolith.plans import dims, facts, kpis, performance, quality
-from cargolith.session import tiny
+from cargolith.session import scratch_path, tiny
 from cargolith.sources import operational as op
 from cargolith.sources.marts import invoices, shipments
 from cargolith.sources.tables import current_keys, parquet
@@ -417,3 +417,41 @@ register("Q13_prediction_input", lambda s, d: quality.prediction_input(b.ship_ro
     sql(o.SHIP_ROWS, rules_sql("PredictionInput", "ship_rows", [nul("TotalWeight", "warning"), bad("negative_TotalWeight", "warning", "TotalWeight < 0"),
         nul("ShipmentValue", "warning"), bad("negative_ShipmentValue", "warning", "ShipmentValue < 0"), ("non_numeric_FreightTypeID", "warning", "count(*)"),
         nul("FreightTypeID", "warning"), ("missing_RouteLength", "warning", "count(*)"), nul("TotalPackages", "warning")])))
+
+
+def _worded(s, d):
+    """Invoices as a source may send them: every seventh status a word, every fiftieth invoice twice."""
+    rows = invoices(s, d).select("InvoiceID", "InvoiceType", F.when(col("InvoiceID") % 7 == 0, "open").otherwise(col("PaymentStatus").cast("string")).alias("PaymentStatus"))
+    return rows.unionByName(rows.filter(col("InvoiceID") % 50 == 0))
+
+
+_WORDED = """w0 AS (SELECT InvoiceID, InvoiceType, CASE WHEN InvoiceID % 7 = 0 THEN 'open' ELSE PaymentStatus::VARCHAR END AS PaymentStatus FROM invoices),
+worded AS (SELECT * FROM w0 UNION ALL SELECT * FROM w0 WHERE InvoiceID % 50 = 0)"""
+register("Q10b_repaired_status", lambda s, d: quality.repair_invoice_status(_worded(s, d)).groupBy("InvoiceType", "PaymentStatus").agg(F.count(lit(1)).alias("n")),
+    sql(f"{INV}, {_WORDED}", "SELECT InvoiceType, coalesce(try_cast(PaymentStatus AS INTEGER), 0) AS PaymentStatus, count(*) AS n FROM worded GROUP BY 1, 2"))
+register("Q10c_duplicate_rejects", lambda s, d: quality.duplicate_invoices(_worded(s, d)),
+    sql(f"{INV}, {_WORDED}", "SELECT InvoiceID, InvoiceType, PaymentStatus FROM worded WHERE InvoiceID IN (SELECT InvoiceID FROM worded GROUP BY 1 HAVING count(*) > 1)"))
+
+
+def _gate(s, d):
+    """Loads behind their quality rules: which ones were stopped, and how many rows the others wrote."""
+    products = dims.products(op.materials(s, d))
+    raw = dims.with_role(op.party(s, d), "IsClient").select(
+        F.upper(F.trim("CodeClient")).alias("CustomerID"), col("RaisonSociale").alias("CustomerName"), col("ID_Pays").alias("CustomerCountry"))
+    out = []
+    for name, df, report in (("DimProduct", products, quality.product(products)), ("DimCustomer", raw, quality.customer(raw))):
+        path = scratch_path(s, "gated")
+        try:
+            quality.gated_load(df, report, path)
+            out.append((name, True, s.read.parquet(path).count()))
+        except ValueError:
+            out.append((name, False, 0))
+    return s.createDataFrame(out, "table string, loaded boolean, rows long")
+
+
+_GATED = " UNION ALL ".join(
+    f"""SELECT '{t}' AS "table", x.ok AS loaded, CASE WHEN x.ok THEN (SELECT count(*) FROM {src}) ELSE 0 END AS "rows" FROM (SELECT count(*) FILTER (severity = 'error' AND failing_rows > 0) = 0 AS ok FROM ({rules_sql(t, src, rules)})) x"""
+    for t, src, rules in (
+        ("DimProduct", "dim_product", [nul("ProductID"), bad("empty_ProductName", "error", "trim(ProductName) = ''"), dup("ProductID")]),
+        ("DimCustomer", "rawc", [nul("CustomerID"), nul("CustomerName"), nul("CustomerCountry"), dup("CustomerID", "warning")])))
+register("Q14_gated_load", _gate, sql(f"{o.PRODUCTS}, {o.PARTY}, {_RAWCUST}", _GATED))

@@ -73,6 +73,12 @@ def enforce(report: DataFrame) -> DataFrame:
     return report
 
 
+def gated_load(df: DataFrame, report: DataFrame, path: str) -> None:
+    """Writes ``df`` unless one of its error rules has failing rows: then nothing is written and the rules are raised."""
+    enforce(report)
+    df.write.mode("append").parquet(path)
+
+
 def passed(report: DataFrame) -> DataFrame:
     """Per table: whether no error rule fails, and how many warnings hold."""
     bad = F.col("failing_rows") > 0
