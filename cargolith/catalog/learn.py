@@ -143,7 +143,10 @@ def _time_folds(s, d):
     base = m.time_folds(shipment_frame(s, d), "ShipmentDate", 5)
     data = m.design(base, DELIVERY, "DeliveryVariance", ["fold"]).persist()
     try:
-        rows = [(n, i + 1, float(x)) for n, make in m.regressors(**m.FEW_TREES).items() for i, x in enumerate(m.expanding_scores(data, make(), "regression", 5))]
+        made = {n: make() for n, make in m.regressors(**m.FEW_TREES).items()}
+        linear = {n: e for n, e in made.items() if isinstance(e, lin.MomentRegression)}
+        rows = lin.expanding_errors(data, "fold", linear)
+        rows += [(n, i + 1, float(x)) for n, e in made.items() if n not in linear for i, x in enumerate(m.expanding_scores(data, e, "regression", 5))]
     finally:
         data.unpersist()
     return tidy(s.createDataFrame(rows, "model string, fold int, rmse double"))

@@ -152,6 +152,32 @@ class MomentRegression:
         return as_model(data, scale, *solve(self.kind, moments(data, scale)[0], **self.parameters))
 
 
+def fit_together(data: DataFrame, learners: dict[str, MomentRegression]) -> dict[str, LinearRegressionModel]:
+    """Several penalties from one scaler and one set of sums."""
+    if not learners:
+        return {}
+    scale = robust_scale(data, width_of(data))
+    sums = moments(data, scale)[0]
+    return {name: as_model(data, scale, *solve(learner.kind, sums, **learner.parameters)) for name, learner in learners.items()}
+
+
+def expanding_errors(data: DataFrame, fold: str, learners: dict[str, MomentRegression]) -> list[tuple[str, int, float]]:
+    """(learner, fold, rmse): fitted on the folds before each one and scored on it, all from one scan of sums.
+
+    The scaler is that of all rows.
+    """
+    if not learners:
+        return []
+    parts = moments(data, robust_scale(data, width_of(data)), fold)
+    out = []
+    for name, learner in learners.items():
+        before = parts[0]
+        for k in range(1, max(parts) + 1):
+            out.append((name, k, parts[k].squared_error(*solve(learner.kind, before, **learner.parameters)) ** 0.5))
+            before = before + parts[k]
+    return out
+
+
 def as_model(data: DataFrame, scale: Scale, intercept: float, coefficients: np.ndarray) -> LinearRegressionModel:
     """The solution on features as they come, which can be saved and applied like any other model."""
     raw = coefficients / scale.width

@@ -10,11 +10,10 @@ from random import Random
 from statistics import pstdev
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cargolith.operators.ranking import quantile_rows, row_numbers
 from cargolith.operators.stats import attach
-from cargolith.plans.linear import MomentRegression
+from cargolith.plans.linear import MomentRegression, fit_together
 from cargolith.session import tiny
 
 col, lit, when = F.col, F.lit, F.when
@@ -190,7 +189,7 @@ def tune(train: DataFrame, estimator, ranges: dict[str, list], task: str, fold:
             return evaluator(task).evaluate(model.transform(train.filter(col(fold) == k)))
 
         with ThreadPool(4) as pool:
-            scores = pool.map(inheritable_thread_target(score), jobs)
+            scores = pool.map(inheritable_thread_target(train.sparkSession)(score), jobs)
         by = [[x for (g, _), x in zip(jobs, scores, strict=True) if g == i] for i in range(len(grid))]
         means = [sum(x) / len(x) for x in by]
         best = min(range(len(grid)), key=lambda i: means[i] if task == "regression" else -means[i])
@@ -248,11 +247,18 @@ def importance_table(spark: SparkSession, fitted: dict, features: Sequence[str])
     return spark.createDataFrame(rows, "model string, feature string, importance double")
 
 
+def fit_each(train: DataFrame, factories: dict[str, Callable], classes: int = 2) -> dict:
+    """Fits each estimator; the linear regressors share one scaler and one scan."""
+    made = {name: make() for name, make in factories.items()}
+    linear = fit_together(train, {n: e for n, e in made.items() if isinstance(e, MomentRegression)})
+    return {n: linear[n] if n in linear else multiclass(e, classes).fit(train) for n, e in made.items()}
+
+
 def fit_all(train: DataFrame, factories: dict[str, Callable], classes: int = 2) -> dict:
-    """Fits each estimator on the persisted training frame."""
+    """``fit_each`` on the persisted training frame."""
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {name: multiclass(make(), classes).fit(train) for name, make in factories.items()}
+        return fit_each(train, factories, classes)
     finally:
         train.unpersist()
 
@@ -339,13 +345,13 @@ def stack(train: DataFrame, key: str, factories: dict[str, Callable], meta, fold
     try:
         parts = []
         for i in range(folds):
-            fitted = {n: make().fit(rows.filter(col("fold") != i)) for n, make in factories.items()}
+            fitted = fit_each(rows.filter(col("fold") != i), factories)
             parts.append(score(fitted, rows.filter(col("fold") == i)))
         held_out = parts[0]
         for p in parts[1:]:
             held_out = held_out.unionByName(p)
         meta_model = meta.fit(stacked_features(held_out, list(factories)))
-        return {n: make().fit(rows) for n, make in factories.items()}, meta_model
+        return fit_each(rows, factories), meta_model
     finally:
         rows.unpersist()
 
@@ -369,39 +375,3 @@ def load(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
 
 # ---- clustering
 RFM_FEATURES = ["Recency", "Frequency", "Monetary", "CustomerValue", "AvgOrderValue", "PurchaseVelocity", "PaymentRate"]
-
-
-def standardised(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    rows = df.na.fill(0, list(features))
-    assembler = VectorAssembler(inputCols=list(features), outputCol="raw")
-    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
-    return Pipeline(stages=[assembler, scaler]).fit(rows).transform(rows).drop("raw")
-
-
-def cluster(data: DataFrame, k: int):
-    return KMeans(k=k, seed=SEED, initSteps=5).fit(data)
-
-
-def calinski_harabasz(clustered: DataFrame, k: int, inertia: float) -> float:
-    """Between-cluster over within-cluster spread. Total spread comes from one aggregate
-    over the features; the within part is the training cost."""
-    x = clustered.select(vector_to_array("features").alias("x"))
-    size = len(x.first().x)
-    row = x.agg(F.count(lit(1)).alias("n"), *[F.var_pop(col("x")[i]).alias(f"v{i}") for i in range(size)]).first()
-    total = row["n"] * sum(row[f"v{i}"] for i in range(size))
-    return float("inf") if inertia == 0 else (total - inertia) / (k - 1) / (inertia / (row["n"] - k))
-
-
-def choose_k(data: DataFrame, low: int = 2, high: int = 10) -> DataFrame:
-    """Silhouette (squared Euclidean), Calinski-Harabasz and inertia for each k."""
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = []
-        for k in range(low, high + 1):
-            model = cluster(data, k)
-            out = model.transform(data)
-            cost = model.summary.trainingCost
-            rows.append((k, float(ClusteringEvaluator().evaluate(out)), float(calinski_harabasz(out, k, cost)), float(cost)))
-    finally:
-        data.unpersist()
-    return data.sparkSession.createDataFrame(rows, "k int, silhouette double, calinski_harabasz double, inertia double")

@@ -70,3 +70,16 @@ def test_model_can_be_saved(spark, data, tmp_path):
     model.save(str(tmp_path / "m"))
     again = linear.LinearRegressionModel.load(str(tmp_path / "m"))
     assert np.allclose(again.coefficients.toArray(), model.coefficients.toArray()) and again.intercept == model.intercept
+
+
+def test_shared_fits_and_expanding_folds(data):
+    """Learners fitted together are those fitted alone; errors of later folds are those of the rows."""
+    frame, x, y = data
+    learners = {"ridge": linear.MomentRegression("ridge"), "lasso": linear.MomentRegression("lasso", alpha=0.1)}
+    for name, model in linear.fit_together(frame, learners).items():
+        assert np.allclose(model.coefficients.toArray(), learners[name].fit(frame).coefficients.toArray())
+    z, fold = np.column_stack((scaled(x), np.ones(len(x)))), np.arange(len(x)) % 5
+    for name, k, rmse in linear.expanding_errors(frame, "fold", {"ridge": learners["ridge"]}):
+        a, t = z[fold < k], y[fold < k]
+        w = np.linalg.solve(a.T @ a + np.diag([1, 1, 1, 1, 0]), a.T @ t)
+        assert name == "ridge" and np.isclose(rmse, np.sqrt(((y[fold == k] - z[fold == k] @ w) ** 2).mean()))

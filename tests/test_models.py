@@ -5,11 +5,11 @@ import datetime as dtm
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from cargolith.plans import models as m
 from cargolith.plans import scoring as sc
+from cargolith.plans import segments as seg
 from cargolith.plans import timeseries as ts
 from cargolith.session import scratch_path
 
@@ -33,9 +33,18 @@ def linear(spark):
 
 
 def test_cluster_measures_follow_their_definitions(spark, cloud):
-    points = spark.createDataFrame([(list(map(float, p)),) for p in cloud], "x array<double>")
-    data = points.select(array_to_vector("x").alias("features"))
-    rows = {r.k: r for r in m.choose_k(data, 2, 4).collect()}
+    points = spark.createDataFrame([(i, list(map(float, p))) for i, p in enumerate(cloud)], "id long, x array<double>")
+    centres = seg.centres_for_all(points, "id", "x", [2, 3, 4])
+    rows = {r.k: r for r in seg.measures(points, "x", centres).collect()}
+    own = {r.id: r.own for r in points.select("id", seg.nearest_centre("x", centres[3]).alias("own")).collect()}
+    assert len({(own[i], i // 40) for i in own}) == 3
+    gaps = ((cloud[:, None] - cloud[None]) ** 2).sum(-1)
+    each = []
+    for i in range(120):
+        a = gaps[i, i // 40 * 40 : i // 40 * 40 + 40].sum() / 39
+        b = min(gaps[i, j * 40 : j * 40 + 40].mean() for j in range(3) if j != i // 40)
+        each.append((b - a) / max(a, b))
+    assert rows[3].silhouette == pytest.approx(np.mean(each))
     assert max(rows.values(), key=lambda r: r.silhouette).k == 3
     labels = np.repeat([0, 1, 2], 40)
     means = np.array([cloud[labels == i].mean(axis=0) for i in range(3)])
