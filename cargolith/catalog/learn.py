@@ -442,7 +442,7 @@ def _saved(s, d):
     return tidy(out.select("ShipmentID", "prediction", "features_used"))
 
 
-register("S15_model_persistence", _saved)
+register("S15_model_persistence", _saved, f"{_RIDGE} SELECT ShipmentID, round({sm.PREDICTED}, 4) AS prediction, {len(DELIVERY)} AS features_used FROM z, coef WHERE test AND coef.fold = -1 AND alpha = 1")
 
 
 def _reloaded(s, d):
@@ -510,10 +510,12 @@ def _batch(s, d):
     frame = shipment_frame(s, d)
     _, reg = _delivery_models(s, d, frame)
     thin = shipments(s, d, "ShipmentID", "ShipmentDate", "TotalWeight", "ShipmentValue")
-    return tidy(sc.batch_predict(reg, thin, DELIVERY).select("ShipmentID", "prediction"))
+    return tidy(sc.batch_predict(reg, thin, DELIVERY).select("ShipmentID", "prediction"), 1)
 
 
-register("V01_batch_predict", _batch)
+_KNOWN = {"TotalWeight": "coalesce(TotalWeight, 0)", "ShipmentValue": "coalesce(ShipmentValue, 0)"}
+_THIN = " + ".join(f"w[{i + 1}] * ({_KNOWN.get(c, '0')} - q{i}[2]) / CASE WHEN q{i}[3] = q{i}[1] THEN 1 ELSE q{i}[3] - q{i}[1] END" for i, c in enumerate(DELIVERY))
+register("V01_batch_predict", _batch, f"{_RIDGE} SELECT ShipmentID, round(b + {_THIN}, 1) AS prediction FROM shipments, q, coef WHERE coef.fold = -1 AND alpha = 1")
 register("V01b_linear_check", _linear_check, sql(SHIP, f"SELECT count(*) AS n, 0::BIGINT AS differing FROM shipments WHERE {VARIANCE} IS NOT NULL"))
 register("V02_delivery_scoring", lambda s, d: tidy(_scored_delivery(s, d).select(
     "ShipmentID", "PredictedOnTimeFlag", "OnTimeProbability", "PredictedDeliveryVariance", "PredictedArrivalDate")))
