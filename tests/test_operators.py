@@ -135,3 +135,28 @@ def test_version_merge_is_idempotent(spark):
     once = scd.merge_versions(history(spark), snapshot(spark), "id", ["a"], dt.instant("2024-02-02"))
     again = scd.merge_versions(once, snapshot(spark), "id", ["a"], dt.instant("2024-03-03"))
     assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, again.collect()), key=str)
+
+
+def test_quantiles_of_columns_do_not_deal_rows_by_column(spark, monkeypatch):
+    """The rows of a column, a third of all or more, must not meet in one task."""
+    from cargolith.operators import ranking
+    from cargolith.plans import features
+
+    plans, real = [], ranking.running_sums
+    monkeypatch.setattr(ranking, "running_sums", lambda df, *a, **k: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, *a, **k))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(50).selectExpr("id * 1.0 as a", "-id * 2.0 as b")
+        got = features.scaling_marks(df, ["a", "b"]).collect()
+        features.winsorise(df, ["a"]).collect(), features.impute(df, ["a"]).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert {(r.column, r.Q1, r.Median, r.Q3) for r in got} == {("a", 12.25, 24.5, 36.75), ("b", -73.5, -49.0, -24.5)}
+    assert len(plans) == 3 and all("SortMergeJoin" not in p and "percentile_approx" not in p for p in plans)
+
+
+def test_quantiles_of_odd_values(spark):
+    values = [-1e300, -5.0, -1e-310, 0.0, -0.0, 1e-310, 2.0, 2.0, 2.0000000001, 7e12, float("inf"), None]
+    row = quantiles(spark.createDataFrame([(v,) for v in values], "x double"), "x", {"p0": 0.0, "p1": 0.1, "p5": 0.5, "p9": 0.9}).first()
+    assert tuple(row) == (-1e300, -5.0, 1e-310, 7e12)
