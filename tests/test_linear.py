@@ -83,3 +83,9 @@ def test_shared_fits_and_expanding_folds(data):
         a, t = z[fold < k], y[fold < k]
         w = np.linalg.solve(a.T @ a + np.diag([1, 1, 1, 1, 0]), a.T @ t)
         assert name == "ridge" and np.isclose(rmse, np.sqrt(((y[fold == k] - z[fold == k] @ w) ** 2).mean()))
+
+
+def test_errors_are_plain_numbers(spark, data):
+    """Rows for Spark are made of them."""
+    rows = linear.expanding_errors(data[0], "fold", {"ridge": linear.MomentRegression("ridge")})
+    assert all(type(e) is float for *_, e in rows) and spark.createDataFrame(rows, "m string, k int, e double").count() == 4
