@@ -60,3 +60,29 @@ def test_queries_fit_trees_in_few_scans(spark, data, monkeypatch):
     again, held = m.load(spark, path)
     both = m.scored_columns({"x": fitted["random_forest"], "y": again}, data[1])
     assert held == {"features": ["a"]} and both.filter(~F.col("pred_x").eqNullSafe(F.col("pred_y"))).count() == 0
+
+
+def test_boosting_of_many_classes_is_that_of_pyspark(data):
+    """One class against the rest, as OneVsRest fits it, without a fit by ``pyspark.ml``."""
+    four = data[0].withColumn("label", F.when(F.col("label") < 0.5, 0.0).when(F.col("label") < 2, 1.0).when(F.col("label") < 4, 2.0).otherwise(3.0))
+    e = GBTClassifier(maxIter=11, maxDepth=3, seed=1)
+    want = m.multiclass(e, 4).fit(four).transform(four).orderBy("id").select("prediction").collect()
+    model = m.fit_each(four, {"x": lambda: e}, 4)["x"]
+    assert isinstance(model, trees.TreeModel) and m.importances(model, "abc") == []
+    again = trees.TreeModel.from_json(model.to_json())
+    for x in (model, again):
+        got = x.transform(four).orderBy("id").select("prediction").collect()
+        assert got == want
+
+
+def test_rows_reach_the_nodes_of_their_splits():
+    rng = np.random.default_rng(2)
+    bins = rng.integers(0, 32, (5, 500)).astype(np.uint8)
+    split = {0: (1, 12), 1: (0, 3), 2: (4, 20), 4: (2, 9), 6: (3, 30), 14: (1, 25), 30: (0, 1)}
+    want = []
+    for row in bins.T:
+        at = 0
+        while at in split:
+            at = 2 * at + 1 + int(row[split[at][0]] > split[at][1])
+        want.append(at)
+    assert trees._places(bins, split).tolist() == want
