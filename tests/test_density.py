@@ -3,8 +3,9 @@
 import numpy as np
 import pytest
 
-from cargolith.operators.density import density_clusters
+from cargolith.operators.density import _cubes_above, _near, density_clusters
 from cargolith.operators.linked import components
+from cargolith.session import drop_stash
 
 
 def brute(ids, x, eps, least):
@@ -61,3 +62,22 @@ def test_no_points(spark):
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 1), (3, 2), (9, 8), (5, 5), (7, 9), (7, 7)] + [(100 + i, 101 + i) for i in range(30)], "a long, b long")
     assert {r.node: r.component for r in components(links).collect()} == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 7, **{100 + i: 100 for i in range(31)}}
+
+
+def test_near_cells_against_all_pairs(spark):
+    """Cubes are opened one side at a time in many tasks; pairs within one part are left out, each other pair comes once."""
+    rng = np.random.default_rng(3)
+    grid = np.unique(rng.integers(-6, 7, (150, 3)), axis=0)
+    side, eps = 0.5 / 3**0.5 * (1 - 1e-12), 0.5
+    lo, hi = (grid + 0.2) * side, (grid + 0.8) * side
+    rows = [(i, g.tolist(), a.tolist(), b.tolist(), i % 4) for i, (g, a, b) in enumerate(zip(grid, lo, hi))]
+    cells = _cubes_above(spark.createDataFrame(rows, "cell long, grid array<bigint>, lo array<double>, hi array<double>, part long"), 1)
+    apart = np.maximum(0, np.maximum(lo[:, None] - hi[None], lo[None] - hi[:, None]))
+    close = (apart**2).sum(-1) <= eps * eps
+    frames = []
+    one = _near(cells, cells, 3, eps, 1, frames)
+    assert sorted((min(r), max(r)) for r in one.collect()) == [(i, j) for i in range(len(grid)) for j in range(i, len(grid)) if close[i, j] and i % 4 != j % 4]
+    left = cells.filter("cell < 30").drop("part")
+    two = _near(left, cells.drop("part"), 3, eps, 1, frames)
+    assert sorted((r.a, r.b) for r in two.collect()) == [(i, j) for i in range(30) for j in range(len(grid)) if close[i, j]]
+    drop_stash(*frames)
