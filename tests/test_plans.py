@@ -155,3 +155,14 @@ def test_weighted_vote(spark):
     df = spark.createDataFrame([(1.0, 0.0, 0.0), (2.0, 2.0, 1.0), (1.0, 0.0, 2.0)], "pred_a double, pred_b double, pred_c double")
     got = [r.v for r in df.select(models.weighted_vote({"a": 0.5, "b": 0.3, "c": 0.3}).alias("v")).collect()]
     assert got == [0.0, 2.0, 1.0]
+
+
+def test_rejects_of_all_rules_come_from_one_scan(spark):
+    rows = [("a", "unmatched_customer", None, 1), ("a", "unmatched_customer", None, 2), (None, "unmatched_customer", None, 3),
+            ("b", "unmatched_supplier", 4, 4), ("c", None, None, 5), ("c", None, 6, 5), ("d", "invalid_datekey", None, 7)]
+    tagged = spark.createDataFrame(rows, "PartyName string, RejectReason string, PaymentTermKey long, PaymentTermID long")
+    got = facts.invoice_rejects(tagged)
+    assert {k: sorted(str(r[0]) for r in v.collect()) for k, v in got.items()} == {
+        "unmatched_customers": ["None", "a"], "unmatched_suppliers": ["b"], "unmatched_payment_terms": ["5"]}
+    # Every output reads what the one scan wrote, not the tagged rows.
+    assert len({tuple(v.inputFiles()) for v in got.values()}) == 1 and got["unmatched_customers"].inputFiles()
