@@ -68,7 +68,9 @@ class Codec:
         self.db.register("_v", pa.table({"t": pa.array(list(ranks.values()), pa.int32()), "b": pa.array([k.decode("latin-1") for k in ranks])}))
         self.db.execute("create table vocabulary as select * from _v")
         self.spelling = [str(i) for i in range(max(ranks.values()) + 1)]
-        self.pieces = PieceTable(self._encode)
+        # Pieces differ by the marks around their words: far fewer words than pieces go through the queries.
+        self.words = PieceTable(self._encode)
+        self.pieces = PieceTable(self._joined)
 
     def _words(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of distinct words, and how many each has."""
@@ -80,14 +82,7 @@ class Codec:
         self.db.unregister("letters")
         return out["t"].to_numpy().astype(np.uint32), np.bincount(out["w"].to_numpy(), minlength=len(raw))
 
-    def _encode(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        number: dict[str, int] = {}
-        parts, counts = [], []
-        for k in keys:
-            own = self.find(piece_text(k))
-            counts.append(len(own))
-            parts += [number.setdefault(w, len(number)) for w in own]
-        found = list(number)
+    def _encode(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = [], []
         lo = 0
         while lo < len(found):  # words of some 200 kB at a time
@@ -99,13 +94,11 @@ class Codec:
             ids.append(a)
             sizes.append(b)
             lo = hi
-        ids, sizes = np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *sizes])
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        parts = np.array(parts, np.int64)
-        own = sizes[parts] if len(parts) else np.zeros(0, np.int64)
-        total = np.concatenate(([0], np.cumsum(own)))
-        where = np.arange(total[-1]) + np.repeat(ends[:-1][parts] - total[:-1], own) if len(parts) else np.zeros(0, np.int64)
-        return ids[where], np.diff(total[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))])
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _joined(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, starts = self.words.batch([piece_text(k) for k in keys], self.find)
+        return flat, np.diff(starts)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one run, and where each text's ids start (one more entry than texts)."""

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import regex
 import pytest
 
 from cargolith.llm import bpe, chat, idfiles, packing, personal, quality, tokens
@@ -190,3 +191,20 @@ def test_byte_coder_gives_the_ids_of_the_library(docs, monkeypatch):
 def test_only_plain_byte_level_files_take_the_short_way():
     assert tokens.byte_ranks(str(P.path("word_bpe_49k.json"))) is None
     assert len(tokens.byte_ranks(str(P.path("byte_bpe_50k.json")))) == 50_256
+
+
+def test_a_word_goes_through_the_queries_once():
+    own = bpe.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    seen, words = [], own._words
+    own._words = lambda found: (seen.extend(found), words(found))[1]
+    a, _ = own.encode(["zyxwvut, (zyxwvut) zyxwvut"])
+    b, _ = own.encode(["zyxwvut! qq-zyxwvut"])
+    assert len(seen) == len(set(seen)) and "zyxwvut" in seen
+    assert b"".join(own.decode(np.concatenate((a, b)), np.array([0, len(a) + len(b)]))) == b"zyxwvut, (zyxwvut) zyxwvutzyxwvut! qq-zyxwvut"
+
+
+def test_runs_of_many_words_at_once():
+    words = ["Ab12ab!!,,x", "É½b", "...", "a", "1", "ß²-³ª"]
+    runs, counts = tokens.lower_runs(words)
+    assert counts.tolist() == [len(regex.findall(tokens.RUN_RULE, w.lower())) for w in words]
+    assert runs == [r for w in words for r in regex.findall(tokens.RUN_RULE, w.lower())]
