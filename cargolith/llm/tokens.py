@@ -27,7 +27,7 @@ _WORD = re.compile(f"[^{SPACE}]+")
 RUN_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Letters and digits up to U+00FF (fixed values); no normal form changes these characters.
 _LETTER, _DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾"
-_RUN = re.compile(f"[{_LETTER}]+|[{_DIGIT}]|[^{_LETTER}{_DIGIT}]+")
+_RUN = re.compile(f"[{_LETTER}]+|[{_DIGIT}]| |[^{_LETTER}{_DIGIT} ]+")
 
 
 def spaced_pieces(text: str) -> list[str]:
@@ -61,9 +61,13 @@ def plain_words(text: str) -> list[str]:
     return text.split()
 
 
-def lower_runs(word: str) -> list[str]:
-    """The runs that RUN_RULE cuts a word of characters up to U+00FF without apostrophe into, lower-cased."""
-    return _RUN.findall(word.lower())
+def lower_runs(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """The runs that RUN_RULE cuts words of characters up to U+00FF without apostrophe and white space into,
+    lower-cased, and how many each word has."""
+    found = _RUN.findall(" ".join(words).lower())
+    gaps = [i for i, r in enumerate(found) if r == " "]
+    ends = np.array([*gaps, len(found)])
+    return [r for r in found if r != " "], np.diff(ends, prepend=-1) - 1
 
 
 class PieceTable(dict):
@@ -106,6 +110,15 @@ class PieceTable(dict):
             own = pieces(t)
             counts.append(len(own))
             at.extend(map(number, own))
+        return self._spread(at, counts)
+
+    def parts(self, pieces: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``batch`` for texts that are cut already: all their pieces in one list, and how many each has."""
+        if len(self) > LIMIT:
+            self.clear()
+        return self._spread(array("i", map(self.__getitem__, pieces)), counts)
+
+    def _spread(self, at: array, counts: list[int] | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         self.settle()
         at = np.frombuffer(at, np.int32) if at else np.zeros(0, np.int32)
         ends = self.ends[at]
@@ -217,7 +230,7 @@ def library_table(path: str, spaced: bool) -> PieceTable:
             rest = range(len(keys))
             if parts_of_words is not None:
                 plain = [i for i, k in enumerate(keys) if "'" not in k and (k.isascii() or max(k) <= "\xff")]
-                flat, starts = parts_of_words.batch([keys[i] for i in plain], lower_runs)
+                flat, starts = parts_of_words.parts(*lower_runs([keys[i] for i in plain])) if plain else (np.zeros(0, np.uint32), np.zeros(1, np.int64))
                 runs.append(flat)
                 counts.append(np.diff(starts))
                 order += plain
