@@ -6,8 +6,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
-import regex
 import pytest
+import regex
 
 from cargolith.llm import bpe, chat, idfiles, packing, personal, quality, tokens
 from cargolith.session import scratch_path
@@ -194,7 +194,7 @@ def test_only_plain_byte_level_files_take_the_short_way():
 
 
 def test_a_word_goes_through_the_queries_once():
-    own = bpe.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    own = bpe.Codec(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
     seen, words = [], own._words
     own._words = lambda found: (seen.extend(found), words(found))[1]
     a, _ = own.encode(["zyxwvut, (zyxwvut) zyxwvut"])
