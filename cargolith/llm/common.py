@@ -37,6 +37,15 @@ def drop_stash(df: DataFrame | None) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def few_files(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """``df`` in as many partitions as ``rows`` rows fill with ``each``, two a core at least; never more than it has.
+
+    Where Hadoop's native library is missing, every file written starts a process (``chmod``) from the executor's
+    JVM, which for a moment shares all of its memory: many small files cost time, and count that memory twice.
+    """
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
+
+
 #: Bytes of rows that go to Python at once; texts can be long, and each task holds several batches.
 BATCH_BYTES = "8m"
 
@@ -159,16 +168,20 @@ def shingles(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarr
 
 # --- components ------------------------------------------------------------------------------
 
+#: Links to a file.
+LINKS = 100_000
+
 
-def components(links: DataFrame, name: str = "components") -> DataFrame:
+def components(links: DataFrame, name: str = "components", rows: int | None = None) -> DataFrame:
     """(node, component): the smallest node reachable over the links (a, b); nodes without a link are left out.
 
     Alternating large and small stars: each round joins every node's neighbours to the smallest of them. All
     rounds are joins on the node, whose hot keys adaptive execution splits; each round's table goes to the
-    shared folder, and only a count and a checksum reach the driver.
+    shared folder, and only a count and a checksum reach the driver. ``rows``: of ``links``, if known.
     """
     a, b = F.col("a"), F.col("b")
-    now = stash(links.filter("a <> b").select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), name)
+    first = links.filter("a <> b").select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
+    now = stash(first if rows is None else few_files(first, rows, LINKS), name)
     seen = None
     while True:
         mark = now.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")).first()
@@ -180,7 +193,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        after = stash(small.union(lower.select("a", F.col("m").alias("b"))).distinct(), name)
+        after = stash(few_files(small.union(lower.select("a", F.col("m").alias("b"))).distinct(), mark.n, LINKS), name)
         drop_stash(now)
         now = after
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(b.alias("node"), b.alias("component")).distinct())

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargolith.llm.common import components, drop_stash, like, mix, shingles, stash, text_slices, words
+from cargolith.llm.common import components, drop_stash, few_files, like, mix, shingles, stash, text_slices, words
 
 WIDTH = 7
 MISS = 1e-5
@@ -32,6 +32,8 @@ PARTS = [f"p{k}" for k in range(MAP // 64)]
 #: Pairs left per text from which one more round with other pivots comes before the exact one.
 DENSE = 500
 ROUNDS = 3
+#: Texts to a file of the tables in between.
+TEXTS = 5_000
 
 
 def chunk_count(similarity: float, width: int = WIDTH, miss: float = MISS) -> int:
@@ -136,11 +138,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataF
     sigs = stash(signatures(narrow, size, similarity), "signatures")
     named = sigs.filter("n > 0 and doc_id is not null")
     same = ["n", "f1", "f2"]
-    reps = stash(named.groupBy(*same).agg(F.min("doc_id").alias("doc"), *[F.min(p).alias(p) for p in PARTS], F.min("signature").alias("signature")), "classes")
+    rows = sigs.count()
+    classes = named.groupBy(*same).agg(F.min("doc_id").alias("doc"), *[F.min(p).alias(p) for p in PARTS], F.min("signature").alias("signature"))
+    reps = stash(few_files(classes, rows, TEXTS), "classes")
+    texts = reps.count()
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        return stash(few_files(df, texts, TEXTS), name)
+
     copies = named.join(reps.select(*same, "doc"), same).filter("doc_id <> doc").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
     keys = index_keys(reps)
     shared = keys.groupBy("key").agg(F.count("*").alias("c"), F.min("doc").alias("pivot")).filter("c > 1").drop("c")
-    buckets = stash(keys.join(shared, "key"), "buckets")
+    buckets = kept(keys.join(shared, "key"), "buckets")
     about = reps.select("doc", F.col("n").alias("size"), *PARTS)
     a_side, b_side = ([F.col(c).alias(f"{c}_{x}") for c in ["size", *PARTS]] for x in "ab")
     bits = " + ".join(f"bit_count({p}_a ^ {p}_b)" for p in PARTS)
@@ -153,23 +162,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataF
         return pairs.join(x, "a").join(y, "b").filter(possible).select("a", "b")
 
     first = buckets.filter("doc <> pivot").groupBy(F.col("doc").alias("a")).agg(F.min("pivot").alias("b"))
-    links = [stash(exact_links(worth(first), narrow, size, per_cent), "links")]
-    texts = reps.count()
+    links = [kept(exact_links(worth(first), narrow, size, per_cent), "links")]
     for turn in range(1, ROUNDS + 1):
         found = links[0]
         for more in links[1:]:
             found = found.union(more)
-        joined = components(found)
+        joined = components(found, rows=found.count())
         held = buckets.select("key", "doc").join(joined.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("component"))
         parts = held.groupBy("key", "component").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("doc", F.lit(turn)), "doc")).alias("lead"))
         mixed = parts.groupBy("key").agg(
             F.count("*").alias("parts"), F.sum("c").alias("all"), F.max(F.struct("c", "component", F.col("lead.doc").alias("pivot"))).alias("main")
         ).filter("parts > 1").select("key", F.col("main.component").alias("main"), F.col("main.pivot").alias("pivot"), ((F.col("all") - F.col("main.c")) * F.col("all")).alias("work"))
-        mixed = stash(mixed, "mixed")
+        mixed = kept(mixed, "mixed")
         work = mixed.agg(F.sum("work").alias("w")).first().w or 0
         if not work:
             break
-        open_ = stash(held.join(mixed.drop("work"), "key").join(about, "doc"), "open")
+        open_ = kept(held.join(mixed.drop("work"), "key").join(about, "doc"), "open")
         aside = open_.filter("component <> main")
         if work > DENSE * texts and turn < ROUNDS:
             pairs = worth(aside.groupBy(F.col("doc").alias("a")).agg(F.min("pivot").alias("b")))
@@ -179,7 +187,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataF
             # Two texts that both stand aside meet once; one aside meets all of the main component.
             once = (F.col("ca") != F.col("cb")) & ((F.col("a") < F.col("b")) | (F.col("cb") == F.col("main"))) & possible
             pairs = x.join(y, (x["key"] == y["key"]) & once).select("a", "b").distinct()
-        links.append(stash(exact_links(pairs, narrow, size, per_cent), "links"))
+        links.append(kept(exact_links(pairs, narrow, size, per_cent), "links"))
         drop_stash(open_)
         drop_stash(mixed)
         if not (work > DENSE * texts and turn < ROUNDS):
@@ -187,7 +195,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, per_cent: int = 80) -> DataF
     everything = copies
     for more in links:
         everything = everything.union(more)
-    final = components(everything)
+    final = components(everything, rows=rows + sum(more.count() for more in links))
     drop_stash(buckets)
     out = sigs.select("doc_id", F.col("n").alias("n_shingles")).join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))

@@ -125,3 +125,33 @@ def test_edited_passage_and_empty_table(spark):
     _, regions = repeated_passages(df)
     assert {(r.doc_id, r.start, r.end) for r in regions.collect()} == {(1, 0, 100), (2, 1, 101)}
     assert without_repeats(df.limit(0)).count() == 0
+
+
+def test_small_tables_are_written_as_few_files(spark, monkeypatch):
+    """Files follow the rows, not the partitions: each costs a process on the executor."""
+    from cargolith.llm import common, neardup
+
+    least, files = 2 * spark.sparkContext.defaultParallelism, {}
+
+    def seen(df, name, stash=common.stash):
+        out = stash(df, name)
+        files.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(common, "stash", seen)
+    monkeypatch.setattr(neardup, "stash", seen)
+    wide = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wide}
+    for k, v in wide.items():
+        spark.conf.set(k, v)
+    try:
+        rng = random.Random(2)
+        base = [[f"v{rng.randrange(5000)}" for _ in range(60)] for _ in range(150)]
+        rows = [(2 * i + k, " ".join(w[: 60 - k])) for i, w in enumerate(base) for k in (0, 1)]
+        got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {d: d - d % 2 for d, _ in rows}
+    assert {"classes", "buckets", "links", "components"} <= files.keys()
+    assert max(n for name, own in files.items() if name != "signatures" for n in own) <= least
