@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cargolith.llm.common import like, stash
-from cargolith.llm.tokens import library_table, plain_words, text_batches
+from cargolith.llm.tokens import encode_words, library_table, text_batches
 from cargolith.session import scratch_path
 
 SEEK_TABLE, INDEX, FOOTER = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1  # fixed values of the format
@@ -123,7 +123,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2) -> DataF
                     draft = f"{inner}.{context.taskAttemptId()}"
                     sink = files.open_output_stream(draft)
                     writer = Writer(sink)
-                flat, starts = table.batch(texts[i:j], plain_words)
+                flat, starts = encode_words(table, texts[i:j])
                 for k in range(i, j):
                     own = np.append(flat[starts[k - i] : starts[k - i + 1]], end_id).astype("<u4")
                     writer.add(ids[k], own.tobytes())

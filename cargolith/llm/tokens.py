@@ -12,8 +12,10 @@ import os
 import re
 from array import array
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 #: Distinct pieces kept, and bytes of a batch of texts that are encoded together.
 LIMIT = 300_000
@@ -28,6 +30,8 @@ RUN_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Letters and digits up to U+00FF (fixed values); no normal form changes these characters.
 _LETTER, _DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾"
 _RUN = re.compile(f"[{_LETTER}]+|[{_DIGIT}]| |[^{_LETTER}{_DIGIT} ]+")
+#: RUN_RULE for whole lower-cased texts of characters up to U+00FF.
+_TEXT_RUN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_LETTER}{_DIGIT}{SPACE}]+")
 
 
 def spaced_pieces(text: str) -> list[str]:
@@ -70,13 +74,24 @@ def lower_runs(words: list[str]) -> tuple[list[str], np.ndarray]:
     return [r for r in found if r != " "], np.diff(ends, prepend=-1) - 1
 
 
+def reordered(ids: np.ndarray, counts: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``ids`` (``counts`` of each) with run k at place ``order[k]``, and the counts there."""
+    place = np.argsort(order)
+    starts = (np.cumsum(counts) - counts)[place]
+    counts = counts[place]
+    at = np.cumsum(counts) - counts
+    return ids[np.arange(counts.sum()) + np.repeat(starts - at, counts)], counts
+
+
 class PieceTable(dict):
     """Numbers pieces in order of appearance, and holds each one's ids after ``settle``."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = LIMIT):
         """``encode`` gives all ids of a list of pieces in one run, and how many each has."""
         super().__init__()
         self.encode = encode
+        self.limit = limit
+        self.runs: PieceTable | None = None
         self.new: list[str] = []
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 16, np.int64)
@@ -102,7 +117,7 @@ class PieceTable(dict):
 
     def batch(self, texts: list[str], pieces: Callable[[str], list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one run, and where each text's ids start (one more entry than texts)."""
-        if len(self) > LIMIT:
+        if len(self) > self.limit:
             self.clear()
         at, counts = array("i"), []
         number = self.__getitem__
@@ -112,15 +127,23 @@ class PieceTable(dict):
             at.extend(map(number, own))
         return self._spread(at, counts)
 
+    def lists(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``batch`` for the pieces of all texts; only distinct ones are looked up."""
+        if len(self) > self.limit:
+            self.clear()
+        coded = pa.array(chain.from_iterable(pieces), pa.string()).dictionary_encode()
+        number = np.fromiter(map(self.__getitem__, coded.dictionary.to_pylist()), np.int32, len(coded.dictionary))
+        return self._spread(number[coded.indices.to_numpy()], [len(p) for p in pieces])
+
     def parts(self, pieces: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """As ``batch`` for texts that are cut already: all their pieces in one list, and how many each has."""
-        if len(self) > LIMIT:
+        if len(self) > self.limit:
             self.clear()
         return self._spread(array("i", map(self.__getitem__, pieces)), counts)
 
-    def _spread(self, at: array, counts: list[int] | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _spread(self, at: array | np.ndarray, counts: list[int] | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         self.settle()
-        at = np.frombuffer(at, np.int32) if at else np.zeros(0, np.int32)
+        at = np.frombuffer(at, np.int32) if len(at) else np.zeros(0, np.int32)
         ends = self.ends[at]
         starts = np.where(at > 0, self.ends[at - 1], 0)
         sizes = ends - starts
@@ -202,7 +225,7 @@ def _run_table(tokenizer) -> PieceTable:
             counts.append(np.diff(last, prepend=-1))
         return np.concatenate(runs), np.concatenate(counts)
 
-    return PieceTable(encode)
+    return PieceTable(encode, 2 * LIMIT)
 
 
 def library_table(path: str, spaced: bool) -> PieceTable:
@@ -253,17 +276,30 @@ def library_table(path: str, spaced: bool) -> PieceTable:
                 runs.append(np.array(tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32))
                 counts.append(np.array([len(runs[-1])]))
             order += joinable + alone
-            ids, counts = np.concatenate(runs), np.concatenate(counts)
-            place = np.argsort(np.array(order))
-            starts = (np.cumsum(counts) - counts)[place]
-            counts = counts[place]
-            at = np.cumsum(counts) - counts
-            return ids[np.arange(counts.sum()) + np.repeat(starts - at, counts)], counts
+            return reordered(np.concatenate(runs), np.concatenate(counts), np.array(order))
 
         _TABLES[key] = PieceTable(encode)
+        _TABLES[key].runs = parts_of_words
     return _TABLES[key]
 
 
+def encode_words(table: PieceTable, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts by a ``library_table`` that drops white space, and where each text's ids start (one more entry).
+
+    Where the tokenizer cuts words into runs, texts of characters up to U+00FF are cut into runs as a whole.
+    """
+    if table.runs is None:
+        return table.batch(texts, plain_words)
+    narrow = np.array([t.isascii() or max(t) <= "\xff" for t in texts], bool)
+    flat, starts = table.runs.lists([_TEXT_RUN.findall(t.lower()) for t, n in zip(texts, narrow, strict=True) if n])
+    if narrow.all():
+        return flat, starts
+    rest, more = table.batch([t for t, n in zip(texts, narrow, strict=True) if not n], plain_words)
+    order = np.concatenate((np.flatnonzero(narrow), np.flatnonzero(~narrow)))
+    ids, counts = reordered(np.concatenate((flat, rest)), np.concatenate((np.diff(starts), np.diff(more))), order)
+    return ids, np.concatenate(([0], np.cumsum(counts)))
+
+
 #: Characters of a text encoded at once; a longer text is cut before single blanks between words.
 CHUNK = 1 << 16
 _GAP = re.compile(r"(?<=\S) (?=\S)")

@@ -208,3 +208,17 @@ def test_runs_of_many_words_at_once():
     runs, counts = tokens.lower_runs(words)
     assert counts.tolist() == [len(regex.findall(tokens.RUN_RULE, w.lower())) for w in words]
     assert runs == [r for w in words for r in regex.findall(tokens.RUN_RULE, w.lower())]
+
+
+def test_whole_texts_are_cut_into_runs():
+    """Texts up to U+00FF go to the runs as a whole, contractions and odd white space included; others by words."""
+    encode, path = library("word_bpe_49k.json"), str(P.path("word_bpe_49k.json"))
+    texts = ["don't we'LL it's 'tis ''s !'s 's's a'b", "", "É½b\xa0x\x85y\x0bz\x1cq \0 r\0s", "日本 don't’s", " \n", "Ab12ab!!,,x ß²-³ª", "　a b", "'"]
+    table = tokens.library_table(path, False)
+    for size in (len(texts), 1):
+        for lo in range(0, len(texts), size):
+            flat, starts = tokens.encode_words(table, texts[lo : lo + size])
+            assert [flat[a:b].tolist() for a, b in zip(starts, starts[1:])] == [encode(t)[:-1] for t in texts[lo : lo + size]]
+    before = len(table)
+    tokens.encode_words(table, ["zqxj'wvut's 12zqxj"])
+    assert len(table) == before and "zqxj" in table.runs
