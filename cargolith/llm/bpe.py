@@ -1,6 +1,6 @@
 """Byte-level BPE as recursive queries of an embedded database, one per Spark task (operator 2).
 
-Encoding: each distinct word of the task's texts (a match of the pattern) is a set of rows (word, position,
+Encoding: each distinct word of the worker's texts (a match of the pattern) is a set of rows (word, position,
 token). A step of the recursive query joins neighbouring tokens with the merge table, takes each word's
 smallest rank, leftmost first, and contracts that pair; a word leaves the recursion when it has no pair left.
 Decoding: rows (text, position, token) join the vocabulary, and an ordered aggregate joins their bytes.
@@ -21,26 +21,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cargolith.llm.common import like
-from cargolith.llm.tokens import PieceTable, piece_text, spaced_pieces, text_batches
+from cargolith.llm.tokens import LIMIT, PieceTable, text_batches
 
 MEMORY = "160MB"
 
+# Each row knows its word's next token and where that is (-1: none). The right one of two merged tokens becomes their
+# sum, so that what it knows stays right; the left one goes, and the row before it learns of the sum. A step's best pair
+# of a word is one number: rank, position of the left token, distance of the right one (14 bits).
 ENCODE = """
-with recursive step(w, i, t, live) as (
-  select w, i, t, true from letters
+with recursive step(w, i, t, n, next, live) as (
+  select w, i, t, n, next, true from letters
   union all
-  select x.w, x.i, case when x.i = best.at then best.rank else x.t end, best.rank is not null
-  from (select w, i, t, lag(i) over (order by i) as before from step where live) x
-  join (
-    select y.w, min(m.rank) as rank, min(m.rank::bigint * 4294967296 + y.i) & 4294967295 as at
-    from (select w, i, t, lead(t) over (order by i) as next, lead(w) over (order by i) as of from step where live) y
-    left join merges m on m.pair = y.t::bigint * 65536 + y.next and y.of = y.w
-    group by y.w) best on best.w = x.w
-  where best.at is null or x.before is null or x.before <> best.at
+  select x.w, x.i, case when x.i = best.sum then best.rank else x.t end, case when x.n = best.gone then best.sum else x.n end,
+    case when x.n = best.gone then best.rank else x.next end, best.rank is not null
+  from step x
+  left join (
+    select w, (key >> 45)::int as rank, ((key >> 14) & 2147483647)::int as gone, (((key >> 14) & 2147483647) + (key & 16383))::int as sum
+    from (
+      select y.w, min(m.rank::bigint * 35184372088832 + y.i::bigint * 16384 + (y.n - y.i)) as key
+      from step y join merges m on m.pair = y.t::bigint * 65536 + y.next
+      where y.live and y.n >= 0
+      group by y.w)) best on best.w = x.w
+  where x.live and (best.rank is null or x.i <> best.gone)
 )
 select w, t from step where not live order by i
 """
-DECODE = "select d, string_agg(b, '' order by i) as text from spelled join vocabulary using (t) group by d order by d"
+DECODE = "select d, array_to_string(list(b order by i), '') as text from spelled join vocabulary using (t) group by d order by d"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -59,6 +65,8 @@ class Codec:
         ranks = load_ranks(path)
         pairs = [(left, right, rank) for token, rank in ranks.items() for i in range(1, len(token))
                  if (left := ranks.get(token[:i])) is not None and (right := ranks.get(token[i:])) is not None]
+        if max(map(len, ranks)) >= 16384:
+            raise ValueError("a token is longer than a step can hold")
         left, right, rank = np.array(pairs, np.int64).reshape(-1, 3).T
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
@@ -68,16 +76,16 @@ class Codec:
         self.db.register("_v", pa.table({"t": pa.array(list(ranks.values()), pa.int32()), "b": pa.array([k.decode("latin-1") for k in ranks])}))
         self.db.execute("create table vocabulary as select * from _v")
         self.spelling = [str(i) for i in range(max(ranks.values()) + 1)]
-        # Pieces differ by the marks around their words: far fewer words than pieces go through the queries.
-        self.words = PieceTable(self._encode)
-        self.pieces = PieceTable(self._joined)
+        self.words = PieceTable(self._encode, 2 * LIMIT)
 
     def _words(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of distinct words, and how many each has."""
         raw = [w.encode("utf-8", "surrogatepass") for w in found]
         sizes = np.array([len(r) for r in raw])
         letters = self.byte[np.frombuffer(b"".join(raw), np.uint8)]
-        self.db.register("letters", pa.table({"w": np.repeat(np.arange(len(raw), dtype=np.int32), sizes), "i": np.arange(len(letters), dtype=np.int32), "t": letters}))
+        at, after, following = np.arange(len(letters), dtype=np.int32), np.arange(1, 1 + len(letters), dtype=np.int32), np.roll(letters, -1)
+        after[np.cumsum(sizes) - 1] = following[np.cumsum(sizes) - 1] = -1
+        self.db.register("letters", pa.table({"w": np.repeat(np.arange(len(raw), dtype=np.int32), sizes), "i": at, "t": letters, "n": after, "next": following}))
         out = self.db.sql(ENCODE).to_arrow_table()
         self.db.unregister("letters")
         return out["t"].to_numpy().astype(np.uint32), np.bincount(out["w"].to_numpy(), minlength=len(raw))
@@ -96,13 +104,9 @@ class Codec:
             lo = hi
         return np.concatenate(ids), np.concatenate(sizes)
 
-    def _joined(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        flat, starts = self.words.batch([piece_text(k) for k in keys], self.find)
-        return flat, np.diff(starts)
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one run, and where each text's ids start (one more entry than texts)."""
-        return self.pieces.batch(texts, spaced_pieces)
+        return self.words.lists([self.find(t) for t in texts])
 
     def decode(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
         """The bytes of each run of ids."""
@@ -170,7 +174,7 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         sha = hashlib.sha256
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for i, j in text_batches(texts, 1 << 20):
+            for i, j in text_batches(texts):
                 flat, starts = own.encode(texts[i:j])
                 names = own.spelling
                 a = [sha(" ".join(map(names.__getitem__, flat[s:e].tolist())).encode()).hexdigest() for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]

@@ -210,6 +210,23 @@ def test_runs_of_many_words_at_once():
     assert runs == [r for w in words for r in regex.findall(tokens.RUN_RULE, w.lower())]
 
 
+def test_long_and_marked_words_merge_as_in_the_library():
+    """Chains of merges at both ends of a word, repeated pairs, and a word of one token beside words of many."""
+    import tiktoken
+
+    path = str(P.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    rng = np.random.default_rng(3)
+    texts = ["aaaaaaa" * 9, " the", "ééé\x00\x01 ß", "internationalisation internationalisations", "ananananas banana" * 3]
+    texts += ["".join(rng.choice(list("etaoins htr'"), 200)) for _ in range(40)]
+    own = bpe.Codec(path, P.PATTERN)
+    flat, starts = own.encode(texts)
+    assert [flat[a:b].tolist() for a, b in zip(starts, starts[1:])] == [library.encode_ordinary(t) for t in texts]
+    assert [x.decode() for x in own.decode(flat, starts)] == texts
+    # Rows of a step are linked: no window, hence no sort of all letters in each step.
+    assert "over (" not in bpe.ENCODE.lower()
+
+
 def test_whole_texts_are_cut_into_runs():
     """Texts up to U+00FF go to the runs as a whole, contractions and odd white space included; others by words."""
     encode, path = library("word_bpe_49k.json"), str(P.path("word_bpe_49k.json"))
