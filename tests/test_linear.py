@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 
 from cargolith.plans import linear
+from cargolith.plans import models as m
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +90,17 @@ def test_errors_are_plain_numbers(spark, data):
     """Rows for Spark are made of them."""
     rows = linear.expanding_errors(data[0], "fold", {"ridge": linear.MomentRegression("ridge")})
     assert all(type(e) is float for *_, e in rows) and spark.createDataFrame(rows, "m string, k int, e double").count() == 4
+
+
+def test_quartiles_of_blocks_are_exact(spark):
+    """The scaler comes from a few scans of blocks, not from a row per feature and value."""
+    rng = np.random.default_rng(4)
+    x = np.column_stack((rng.normal(size=501) * 1e-3, rng.integers(-3, 4, 501), np.exp(rng.normal(size=501) * 9), np.full(501, -2.5), rng.choice([0.0, -1e300, 5e-324], 501)))
+    df = spark.createDataFrame([(i % 2, *map(float, r), 1.0) for i, r in enumerate(x)], "fold int, a double, b double, c double, d double, e double, y double")
+    data = m.design(df.repartition(5), "abcde", "y", ["fold"])
+    with linear.held_blocks(data) as held:
+        assert np.allclose(linear.quartiles(held, 5), np.quantile(x, [0.25, 0.5, 0.75], axis=0).T, rtol=1e-14, atol=0)
+    scale, parts = linear.scaled_moments(data, "fold")
+    assert sorted(parts) == [0, 1] and parts[0].n == 251 and scale.width[3] == 1.0
+    with linear.held_blocks(data.limit(0)) as held:
+        assert linear.quartiles(held, 5) is None

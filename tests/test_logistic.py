@@ -50,3 +50,24 @@ def test_tuning_takes_few_scans_and_scores_every_fold(data, monkeypatch):
 def test_one_class_is_left_to_pyspark(data):
     ones = data[0].filter("label = 1").withColumn("weight", F.lit(1.0))
     assert logistic.fit_logistic(ones, {"x": m.CLASSIFIERS["logistic"]()})["x"].transform(ones).filter("prediction = 1").count() == ones.count()
+
+
+def test_blocks_are_small_and_hold_all_rows(spark):
+    """Rows of megabytes ended executors: heap for some at once, and again for each copy."""
+    from cargolith.plans.packed import blocks
+
+    df = spark.range(60_000).selectExpr("id", *[f"id % {k + 2} as c{k}" for k in range(12)], "rand(1) as r", "id % 2 as y", "if(id % 2 = 0, 0.7, 1.9) as weight", "id % 5 as fold")
+    data = m.design(df.coalesce(1), [*(f"c{k}" for k in range(12)), "r"], "y", ["weight", "fold"])
+    rows = blocks(data, "weight", "fold").collect()
+    assert max(len(r.x) + len(r.y) + len(r.w) + len(r.k) for r in rows) < 500_000 and len(rows) > 3
+    got = sum(len(r.y) - 2 for r in rows)
+    assert got == 60_000 and sum(len(r.x) for r in rows) < 60_000 * 40
+
+
+def test_models_of_all_folds_come_from_shared_scans(data):
+    e = LogisticRegression(regParam=0.01, weightCol="weight")
+    both = logistic.fit_outside(data[0], {"x": e}, "fold", [0, -1])
+    for k, part in ((0, data[0].filter("fold <> 0")), (-1, data[0])):
+        want = logistic.fit_logistic(part, {"x": e})["x"]
+        assert np.allclose(both[k]["x"].coefficients.toArray(), want.coefficients.toArray(), atol=1e-6)
+        assert abs(both[k]["x"].intercept - want.intercept) < 1e-6
