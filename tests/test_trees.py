@@ -86,3 +86,26 @@ def test_rows_reach_the_nodes_of_their_splits():
             at = 2 * at + 1 + int(row[split[at][0]] > split[at][1])
         want.append(at)
     assert trees._places(bins, split).tolist() == want
+
+
+def test_plans_of_late_rounds_are_no_longer_than_those_of_early_ones(data, monkeypatch):
+    """Frames kept of frames kept doubled the text of each plan every ten rounds: gigabytes in the driver and the event log."""
+    lengths = []
+    kind = type(data[0])
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: (lengths.append(len(df._jdf.queryExecution().toString())), collect(df))[1])
+    trees.fit_trees(data[0], {"x": GBTRegressor(maxIter=45, maxDepth=1)})
+    assert max(lengths[-5:]) < 3 * max(lengths[12:17])
+
+
+def test_numbers_are_packed_without_loss():
+    from cargolith.plans.packed import _packed, _unpacked
+
+    rng = np.random.default_rng(1)
+    cases = [[], [1.0, 0.0, 255.0], [-3.0, 700.0], [1e6, -5.0], [0.5, 0.25], rng.choice([0.1, 1 / 3, 7.7], 5000), rng.normal(size=300), [np.nan, 1.0], [np.inf, 0.1], [1e300, 2.0**53]]
+    sizes = []
+    for c in cases:
+        held = _packed(np.array(c, dtype=float))
+        sizes.append(len(held))
+        assert np.array_equal(_unpacked(held), np.array(c, dtype=float), equal_nan=True)
+    assert sizes[1] == 5 and sizes[5] < 5100
